@@ -18,8 +18,8 @@ WHITESPACE = "".join(map(chr, _SPACES))
 SPACE_CLASS = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 # The name patterns.
-PLOT_CODE = r"^[A-Za-z][0-9]+[A-Za-z]?\n?\z"
-STRICT_FOLDER = rf"^([A-Z])([0-9]+)([a-z]){SPACE_CLASS}*-{SPACE_CLASS}*[^\n]+\n?\z"
+FOLDER_CODE = rf"^{SPACE_CLASS}*([A-Za-z][0-9]+[A-Za-z]?){SPACE_CLASS}*(?:-|\z)"
+STRICT_FOLDER = rf"^([A-Z][0-9]+[a-z]){SPACE_CLASS}*-{SPACE_CLASS}*[^\n]+\z"
 BLOCK_IN_FILE = r"-[Bb][Ll]([0-9]+)-"
 PLOT_IN_FILE = r"-([A-Za-z][0-9]+[A-Za-z]?)-[Bb][Ll]"
 BLOCK_PREFIX = r"^[Bb][Oo]?[0-9]+-([^\n]+)\n?\z"
@@ -43,36 +43,38 @@ def clean_cell(c: Column | str) -> Column:
     return F.nullif(strip(_col(c).cast("string")), F.lit(""))
 
 
+def _capture(text: Column, pattern: str) -> Column:
+    """The first group of the first match, or null.
+
+    Unlike a test followed by an extraction, this refers to ``text`` once, so the optimizer can push it around without
+    evaluating a computed ``text`` several times.
+    """
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def _plot_name(code: Column) -> Column:
-    name = F.concat(F.upper(F.substring(code, 1, 1)), F.lit("-"), F.lower(F.substring(code, 2, 1 << 20)))
-    return F.when(code.rlike(PLOT_CODE), name)
+    """``a16A`` gives ``A-16a``."""
+    return F.overlay(F.initcap(code), F.lit("-"), 2, 0)
 
 
 def plot_from_folder(folder: Column | str) -> Column:
     """``A16a - 50 MW`` gives ``A-16a``: the text before the first dash, any case, suffix optional."""
-    return _plot_name(strip(F.substring_index(_col(folder), "-", 1)))
+    return _plot_name(_capture(_col(folder), FOLDER_CODE))
 
 
 def plot_from_folder_strict(folder: Column | str) -> Column:
     """As :func:`plot_from_folder`, but case-sensitive and with the suffix, the dash and a tail required."""
-    text = strip(folder)
-    name = F.concat(
-        F.regexp_extract(text, STRICT_FOLDER, 1),
-        F.lit("-"),
-        F.regexp_extract(text, STRICT_FOLDER, 2),
-        F.regexp_extract(text, STRICT_FOLDER, 3),
-    )
-    return F.when(text.rlike(STRICT_FOLDER), name)
+    return _plot_name(_capture(strip(folder), STRICT_FOLDER))
 
 
 def block_from_file(file_name: Column | str) -> Column:
     """The first ``-BL<digits>-`` of a file name as ``BL<digits>``; leading zeros are kept."""
-    return F.concat(F.lit("BL"), F.nullif(F.regexp_extract(_col(file_name), BLOCK_IN_FILE, 1), F.lit("")))
+    return F.concat(F.lit("BL"), _capture(_col(file_name), BLOCK_IN_FILE))
 
 
 def plot_from_file(file_name: Column | str) -> Column:
     """The plot code right before ``-BL``; a space in place of the first dash gives null."""
-    return _plot_name(F.regexp_extract(_col(file_name), PLOT_IN_FILE, 1))
+    return _plot_name(_capture(_col(file_name), PLOT_IN_FILE))
 
 
 def path_parts(path: Column | str) -> tuple[Column, Column]:

@@ -14,12 +14,11 @@ from treeledger.operators.order import keep_last
 from treeledger.schema import ELEMENT_FIELDS, KEY
 
 
-def plot_map(plots_projects: DataFrame, plots: DataFrame) -> DataFrame:
-    """One row per plot name (ignoring case): PLOT_ID, PLOT_NAME, PROJECT_ID and LOCATION_ID (null when unknown).
+def plot_projects(plots_projects: DataFrame) -> DataFrame:
+    """One row per plot name (ignoring case): k_plot, PLOT_ID, PLOT_NAME, PROJECT_ID.
 
     A PLOT_ID keeps the values of its last row but the position of its first one; among plots of equal name the one at
-    the highest position wins.  ``plots_projects`` needs the row order in ``ord``; ``plots`` may repeat an ID only if
-    it carries ``ord`` too, and then its last row counts.
+    the highest position wins.  The row order is in ``ord``.
     """
     by_id = plots_projects.groupBy("PLOT_ID").agg(
         F.max_by(F.struct("PROJECT_ID", "PLOT_NAME"), "ord").alias("last"), F.min("ord").alias("first_ord")
@@ -27,17 +26,25 @@ def plot_map(plots_projects: DataFrame, plots: DataFrame) -> DataFrame:
     by_name = by_id.groupBy(F.upper("last.PLOT_NAME").alias("k_plot")).agg(
         F.max_by(F.struct("PLOT_ID", "last.PLOT_NAME", "last.PROJECT_ID"), "first_ord").alias("p")
     )
+    return by_name.select("k_plot", "p.PLOT_ID", "p.PLOT_NAME", "p.PROJECT_ID")
+
+
+def plot_map(plots_projects: DataFrame, plots: DataFrame) -> DataFrame:
+    """:func:`plot_projects` with LOCATION_ID, which is null for a plot that is not in ``plots``.
+
+    ``plots`` may repeat an ID only if it carries the row order in ``ord``, and then its last row counts.
+    """
     if "ord" in plots.columns:
         plots = keep_last(plots, ["ID"], ["ord"])
     places = plots.select(F.col("ID").alias("PLOT_ID"), "LOCATION_ID")
-    return by_name.select("k_plot", "p.*").join(places, "PLOT_ID", "left").select(
+    return plot_projects(plots_projects).join(places, "PLOT_ID", "left").select(
         "k_plot", "PLOT_ID", "PLOT_NAME", "PROJECT_ID", "LOCATION_ID"
     )
 
 
 def lookup_plots(requests: DataFrame, plots_by_name: DataFrame) -> DataFrame:
-    """Plot data for each requested ``plot_name``; nulls when there is no such plot."""
-    return requests.withColumn("k_plot", F.upper("plot_name")).join(plots_by_name, "k_plot", "left").drop("k_plot")
+    """Plot data for each ``requested_plot``; nulls when there is no such plot."""
+    return requests.withColumn("k_plot", F.upper("requested_plot")).join(plots_by_name, "k_plot", "left").drop("k_plot")
 
 
 def surviving(master: DataFrame, order: list[str]) -> DataFrame:

@@ -57,8 +57,9 @@ def number_rows(df: DataFrame, groups: list[str], order: str, name: str, width:
         .select(*groups, "_range", (F.col("_before_span") + F.col("_before_range")).alias("_before"))
     )
     in_range = F.row_number().over(W.partitionBy(*groups, "_range").orderBy(order))
+    # A left join, though every range is there: it keeps the rows on the streamed side whatever the estimates say.
     return (
         ranged.withColumn("_rank", in_range)
-        .join(range_start, groups + ["_range"])
+        .join(range_start, groups + ["_range"], "left")
         .select(*df.columns, (F.col("_before") + F.col("_rank")).cast("bigint").alias(name))
     )

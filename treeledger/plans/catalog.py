@@ -205,7 +205,7 @@ def element_keys(v: Views) -> DataFrame:
 
 @query
 def element_ids(v: Views) -> DataFrame:
-    return extract.label_leaves(v.sheet_rows, v.plot_map).select(
+    return extract.label_leaves(v.sheet_rows, v.plot_projects).select(
         *VISIT_ORDER,
         identity.default_id().alias("default_id"),
         identity.occurrence_id().alias("occurrence_id"),
@@ -275,12 +275,12 @@ def detect_glued_rows(v: Views) -> DataFrame:
 @query
 def resolve_projects(v: Views) -> DataFrame:
     named = v.files.select("folder_name", "file_name", N.plot_from_folder("folder_name").alias("plot_name"))
-    return extract.resolve_projects(named, v.plot_map)
+    return extract.resolve_projects(named, v.plot_projects)
 
 
 @query
 def unresolved_folders(v: Views) -> DataFrame:
-    return extract.extraction_errors(v.files, v.plot_map).where("kind in ('folder_name', 'no_project')").drop("file_name")
+    return extract.extraction_errors(v.files, v.plot_projects).where("kind in ('folder_name', 'no_project')").drop("file_name")
 
 
 @query
@@ -290,26 +290,27 @@ def plot_info(v: Views) -> DataFrame:
 
 @query
 def new_only(v: Views) -> DataFrame:
-    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_map))
+    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_projects))
     return identity.only_new(leaves, v.design_elements).select(*VISIT_ORDER, "PROJECT_ID", "TYPE", "NAME")
 
 
 @query
 def already_present(v: Views) -> DataFrame:
-    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_map))
+    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_projects))
     return identity.already_known(leaves, v.design_elements).select(*VISIT_ORDER, "PROJECT_ID", "TYPE", "NAME")
 
 
 @query
 def resolve_ids(v: Views) -> DataFrame:
-    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_map))
+    leaves = with_keys(extract.label_leaves(v.sheet_rows, v.plot_projects))
     return identity.resolve_ids(leaves, v.design_elements, MASTER_ORDER, identity.default_id()).select(*VISIT_ORDER, "ID", "is_new")
 
 
 @query
 def assign_parents(v: Views) -> DataFrame:
-    leaves = extract.label_leaves(v.sheet_rows, v.plot_map)
-    return extract.parent_ids(leaves, v.design_elements, "BLOCK", "block_name").select(*VISIT_ORDER, "block_name", "PARENT_ID")
+    leaves = extract.label_leaves(v.sheet_rows, v.plot_projects)
+    placed = extract.id_of(leaves, extract.known_parents(v.design_elements), "BLOCK", "block_name", "PARENT_ID")
+    return placed.select(*VISIT_ORDER, "block_name", "PARENT_ID")
 
 
 @query
@@ -342,37 +343,43 @@ def dedupe_last(v: Views) -> DataFrame:
 
 @query
 def plot_map_last_wins(v: Views) -> DataFrame:
-    return v.plot_map.select("k_plot", "PLOT_ID", "PLOT_NAME", "PROJECT_ID")
+    return v.plot_projects.select("k_plot", "PLOT_ID", "PLOT_NAME", "PROJECT_ID")
 
 
 @query
 def dedupe_first(v: Views) -> DataFrame:
-    first = identity.first_by_key(extract.label_leaves(v.sheet_rows, v.plot_map))
+    first = identity.first_by_key(extract.label_leaves(v.sheet_rows, v.plot_projects))
     return first.select(*VISIT_ORDER, "PROJECT_ID", "TYPE", "NAME", "block_name")
 
 
+def _known(v: Views) -> tuple[DataFrame, DataFrame]:
+    return extract.usable_files(v.files, v.plot_projects), extract.known_parents(v.design_elements)
+
+
 @query
 def get_or_create_plots(v: Views) -> DataFrame:
-    plots = extract.plot_elements(extract.usable_files(v.files, v.plot_map), v.design_elements)
-    return plots.select(*ELEMENT_FIELDS, "is_new")
+    return extract.plot_elements(*_known(v)).select(*ELEMENT_FIELDS, F.col("ID_is_new").alias("is_new"))
 
 
 @query
 def get_or_create_blocks(v: Views) -> DataFrame:
-    blocks = extract.block_elements(extract.usable_files(v.files, v.plot_map), v.design_elements)
-    return blocks.select(*ELEMENT_FIELDS, "is_new")
+    return extract.block_elements(*_known(v)).select(*ELEMENT_FIELDS, F.col("ID_is_new").alias("is_new"))
+
+
+def _leaves(v: Views, allow_duplicates: bool) -> DataFrame:
+    leaves = extract.label_leaves(v.sheet_rows, v.plot_projects)
+    new = extract.leaf_elements(leaves, v.design_elements, extract.known_parents(v.design_elements), allow_duplicates)
+    return new.select(*ELEMENT_FIELDS)
 
 
 @query
 def create_leaves(v: Views) -> DataFrame:
-    leaves = extract.label_leaves(v.sheet_rows, v.plot_map)
-    return extract.leaf_elements(leaves, v.design_elements).select(*ELEMENT_FIELDS)
+    return _leaves(v, allow_duplicates=False)
 
 
 @query
 def create_leaves_allow_dups(v: Views) -> DataFrame:
-    leaves = extract.label_leaves(v.sheet_rows, v.plot_map)
-    return extract.leaf_elements(leaves, v.design_elements, allow_duplicates=True).select(*ELEMENT_FIELDS)
+    return _leaves(v, allow_duplicates=True)
 
 
 @query
@@ -399,7 +406,7 @@ def new_elements_written(v: Views) -> DataFrame:
 
 @query
 def duplicate_keys(v: Views) -> DataFrame:
-    return identity.duplicate_keys(extract.label_leaves(v.sheet_rows, v.plot_map))
+    return identity.duplicate_keys(extract.label_leaves(v.sheet_rows, v.plot_projects))
 
 
 # --- aggregations ----------------------------------------------------------------------------------------------------
@@ -448,7 +455,7 @@ def block_breakdown(v: Views) -> DataFrame:
 
 @query
 def lookup_stats(v: Views) -> DataFrame:
-    return rollups.lookup_stats(v.plot_map, lookups.surviving(v.design_elements, MASTER_ORDER))
+    return rollups.lookup_stats(v.plot_projects, lookups.surviving(v.design_elements, MASTER_ORDER))
 
 
 @query
@@ -472,13 +479,13 @@ def plot_presence(v: Views) -> DataFrame:
 
 @query
 def new_plots(v: Views) -> DataFrame:
-    plots = extract.plot_elements(extract.usable_files(v.files, v.plot_map), v.design_elements).where("is_new")
+    plots = extract.plot_elements(*_known(v)).where("ID_is_new")
     return plots.select("ID", "PROJECT_ID", "NAME").withColumn("n_new", plots.agg(F.count(F.lit(1))).scalar())
 
 
 @query
 def issue_summary(v: Views) -> DataFrame:
-    return verify.issue_summary(extract.extraction_errors(v.files, v.plot_map), verify.hierarchy_issues(written_new(v)))
+    return verify.issue_summary(extract.extraction_errors(v.files, v.plot_projects), verify.hierarchy_issues(written_new(v)))
 
 
 # --- verification and repair -----------------------------------------------------------------------------------------
@@ -486,7 +493,7 @@ def issue_summary(v: Views) -> DataFrame:
 
 @query
 def extraction_errors(v: Views) -> DataFrame:
-    return extract.extraction_errors(v.files, v.plot_map)
+    return extract.extraction_errors(v.files, v.plot_projects)
 
 
 @query
@@ -579,7 +586,7 @@ def incremental_extract(v: Views) -> DataFrame:
     """Workbooks arrive in two waves; each wave is one run of the stream against the master left by the one before."""
     root, store, checkpoint = (scratch(v, n) for n in ("arrivals", "store", "progress"))
     incremental.create_store(v.design_elements, store)
-    plots = sinks.handoff(v.plot_map, scratch(v, "plots"))
+    plots = sinks.handoff(v.plot_projects, scratch(v, "plots"))
     early = F.substring("folder_name", 1, 1) < "C"
     for wave in (v.workbook_rows.where(early), v.workbook_rows.where(~early)):
         _packed(v, wave, root)

@@ -3,7 +3,7 @@
 Inputs
     files       folder_name, file_name                       one row per sheet file
     rows        folder_name, file_name, row_idx, table_raw, inverter_raw
-    plots       result of ``plot_map``
+    plots       result of ``plot_projects``
     master      existing elements, with the columns of ``order`` that give their row order
 
 How the plan scales.  Plot, block and project of a row follow from its own folder and file name and the small plot map,
@@ -21,9 +21,8 @@ from pyspark.sql import functions as F
 
 from treeledger.functions import names as N
 from treeledger.functions.keys import element_id, with_keys
-from treeledger.operators.identity import default_id, known_keys, occurrence_id, resolve_ids
-from treeledger.operators.lookups import surviving_among
-from treeledger.operators.order import keep_first
+from treeledger.operators.identity import default_id, known_keys, occurrence_id
+from treeledger.operators.order import keep_first, keep_last
 from treeledger.schema import ELEMENT_FIELDS, KEY, VISIT_ORDER
 
 MASTER_ORDER = ["ord"]
@@ -74,65 +73,75 @@ def extraction_errors(files: DataFrame, plots: DataFrame) -> DataFrame:
 
 
 def unpivot_leaves(rows: DataFrame) -> DataFrame:
-    """Each row as up to two leaves; the type is that of the column, whatever the name looks like."""
+    """Each row as up to two leaves; the type is that of the column, whatever the name looks like.
+
+    ``table_raw`` and ``inverter_raw`` are replaced by ``col_idx``, ``TYPE`` and ``NAME``; other columns stay.
+    """
     pair = F.stack(
         F.lit(2),
         F.lit(1), F.lit("TABLE"), N.leaf_name("table_raw"),
         F.lit(2), F.lit("INVERTER"), N.leaf_name("inverter_raw"),
     ).alias("col_idx", "TYPE", "NAME")
-    return rows.select("folder_name", "file_name", "row_idx", pair).where("NAME is not null")
+    kept = [c for c in rows.columns if c not in ("table_raw", "inverter_raw")]
+    return rows.select(*kept, pair).where("NAME is not null")
 
 
 def label_leaves(rows: DataFrame, plots: DataFrame) -> DataFrame:
-    """All leaves of usable files, with plot, block and project."""
-    named = unpivot_leaves(rows).withColumns(
+    """All leaves of usable files, with plot, block and project.  Rows of other files drop out before the unpivot."""
+    named = rows.withColumns(
         {"plot_name": N.plot_from_folder("folder_name"), "block_name": N.block_from_file("file_name")}
     )
-    return resolve_projects(named.where("plot_name is not null and block_name is not null"), plots)
+    return unpivot_leaves(resolve_projects(named.where("plot_name is not null and block_name is not null"), plots))
 
 
-def plot_elements(usable: DataFrame, master: DataFrame, order: list[str] = MASTER_ORDER) -> DataFrame:
-    """One row per plot of the usable files: ID (reused or new), is_new and an empty PARENT_ID."""
-    plots = usable.select(
-        "PROJECT_ID", F.col("plot_name").alias("NAME"), F.lit("PLOT").alias("TYPE"), F.lit("").alias("PARENT_ID"),
-        "folder_name", "file_name",
-    )
-    first = keep_first(with_keys(plots), KEY, ["folder_name", "file_name"])
-    return resolve_ids(first, master, order, default_id())
+def known_parents(master: DataFrame, order: list[str] = MASTER_ORDER) -> DataFrame:
+    """The PLOT and BLOCK elements of the master, the last row of each key: k_project, k_name, k_type, known_id.
 
+    They are a small share of the master, so filtering it by type is enough; leaves of the master are not moved.
+    """
+    upper = with_keys(master).where(F.col("k_type").isin("PLOT", "BLOCK"))
+    return keep_last(upper.select(*KEY, F.col("ID").alias("known_id"), *order), KEY, order).drop(*order)
 
-def parent_ids(children: DataFrame, master: DataFrame, kind: str, name: str, order: list[str] = MASTER_ORDER) -> DataFrame:
-    """Set PARENT_ID to the ``kind`` element called like column ``name`` in the child's project.
+
+def id_of(children: DataFrame, parents: DataFrame, kind: str, name: str, target: str) -> DataFrame:
+    """Set ``target`` to the id of the ``kind`` element called like column ``name`` in the row's project.
 
     The id of the master is used if it has the element; otherwise the id that the element gets when it is created.
     """
-    keyed = children.withColumns({"p_project": F.lower("PROJECT_ID"), "p_name": F.upper(name)})
-    wanted = keyed.select(
-        F.col("p_project").alias("k_project"), F.col("p_name").alias("k_name"), F.lit(kind).alias("k_type")
-    )
-    known = surviving_among(master, wanted, order).select(
-        F.col("k_project").alias("p_project"), F.col("k_name").alias("p_name"), F.col("ID").alias("known_parent")
+    known = parents.where(F.col("k_type") == kind).select(
+        F.col("k_project").alias("p_project"), F.col("k_name").alias("p_name"), "known_id"
     )
+    keyed = children.withColumns({"p_project": F.lower("PROJECT_ID"), "p_name": F.upper(name)})
     created = element_id(F.lit(kind), "PROJECT_ID", name)
     return (
         keyed.join(known, ["p_project", "p_name"], "left")
-        .withColumn("PARENT_ID", F.coalesce("known_parent", created))
-        .drop("p_project", "p_name", "known_parent")
+        .withColumns({target: F.coalesce("known_id", created), f"{target}_is_new": F.col("known_id").isNull()})
+        .drop("p_project", "p_name", "known_id")
     )
 
 
-def block_elements(usable: DataFrame, master: DataFrame, order: list[str] = MASTER_ORDER) -> DataFrame:
-    """One row per (project, block): a block named in two plots of a project is a child of the first one."""
-    blocks = usable.select(
-        "PROJECT_ID", F.col("block_name").alias("NAME"), F.lit("BLOCK").alias("TYPE"), "plot_name",
-        "folder_name", "file_name",
+def _first_files(usable: DataFrame, kind: str, name: str) -> DataFrame:
+    """One row per element that the files name, with the first file that does."""
+    named = usable.select(
+        "PROJECT_ID", F.col(name).alias("NAME"), F.lit(kind).alias("TYPE"), "plot_name", "folder_name", "file_name"
     )
-    first = keep_first(with_keys(blocks), KEY, ["folder_name", "file_name"])
-    return resolve_ids(parent_ids(first, master, "PLOT", "plot_name", order), master, order, default_id())
+    return keep_first(with_keys(named), KEY, ["folder_name", "file_name"])
+
+
+def plot_elements(usable: DataFrame, parents: DataFrame) -> DataFrame:
+    """One row per plot of the usable files: ID (reused or new), ID_is_new and an empty PARENT_ID."""
+    plots = id_of(_first_files(usable, "PLOT", "plot_name"), parents, "PLOT", "NAME", "ID")
+    return plots.withColumn("PARENT_ID", F.lit(""))
+
+
+def block_elements(usable: DataFrame, parents: DataFrame) -> DataFrame:
+    """One row per (project, block): a block named in two plots of a project is a child of the first one."""
+    blocks = id_of(_first_files(usable, "BLOCK", "block_name"), parents, "BLOCK", "NAME", "ID")
+    return id_of(blocks, parents, "PLOT", "plot_name", "PARENT_ID")
 
 
 def leaf_elements(
-    leaves: DataFrame, master: DataFrame, allow_duplicates: bool = False, order: list[str] = MASTER_ORDER
+    leaves: DataFrame, master: DataFrame, parents: DataFrame, allow_duplicates: bool = False
 ) -> DataFrame:
     """New TABLE and INVERTER elements.
 
@@ -143,9 +152,10 @@ def leaf_elements(
     if allow_duplicates:
         new = leaves.withColumn("ID", occurrence_id())
     else:
-        first = keep_first(with_keys(leaves), KEY, VISIT_ORDER)
+        places = leaves.select("PROJECT_ID", "NAME", "TYPE", "block_name", *VISIT_ORDER)
+        first = keep_first(with_keys(places), KEY, VISIT_ORDER)
         new = first.join(known_keys(master, "TABLE", "INVERTER"), KEY, "left_anti").withColumn("ID", default_id())
-    return parent_ids(new, master, "BLOCK", "block_name", order)
+    return id_of(new, parents, "BLOCK", "block_name", "PARENT_ID")
 
 
 @dataclass(frozen=True)
@@ -161,17 +171,17 @@ class Inputs:
 
 def extract_located(inputs: Inputs, allow_duplicates: bool = False) -> DataFrame:
     """New elements of all levels, each with the place where it was first met."""
-    order = list(inputs.order)
     usable = usable_files(inputs.files, inputs.plots)
+    parents = known_parents(inputs.master, list(inputs.order))
 
     def shaped(df: DataFrame, row: Column, column: Column) -> DataFrame:
         return df.select(
             *ELEMENT_FIELDS, "folder_name", "file_name", row.cast("bigint").alias("row_idx"), column.alias("col_idx")
         )
 
-    plots = plot_elements(usable, inputs.master, order).where("is_new")
-    blocks = block_elements(usable, inputs.master, order).where("is_new")
-    leaves = leaf_elements(label_leaves(inputs.rows, inputs.plots), inputs.master, allow_duplicates, order)
+    plots = plot_elements(usable, parents).where("ID_is_new")
+    blocks = block_elements(usable, parents).where("ID_is_new")
+    leaves = leaf_elements(label_leaves(inputs.rows, inputs.plots), inputs.master, parents, allow_duplicates)
     return (
         shaped(plots, F.lit(0), F.lit(0))
         .unionByName(shaped(blocks, F.lit(0), F.lit(1)))

@@ -94,8 +94,8 @@ VIEWS: dict[str, str] = {
     "named_files": f"select folder_name, file_name, {FOLDER_PLOT} as plot_name, {FILE_PLOT} as file_plot_name, {FILE_BLOCK} as block_name from files",
     "usable": """select f.*, m.PROJECT_ID from named_files f join plot_map m on upper(f.plot_name)=m.k_plot
       where m.PROJECT_ID <> '' and block_name is not null""",
-    "file_errors": """select case when plot_name is null then 'folder_name' when m.PROJECT_ID is null then 'no_project' when block_name is null then 'no_block'
-          when coalesce(upper(plot_name)<>upper(file_plot_name), true) then 'plot_mismatch' end as kind, f.folder_name, f.file_name
+    "file_errors": """select case when f.plot_name is null then 'folder_name' when m.PROJECT_ID is null then 'no_project' when block_name is null then 'no_block'
+          when coalesce(upper(f.plot_name)<>upper(file_plot_name), true) then 'plot_mismatch' end as kind, f.folder_name, f.file_name
       from named_files f left join (select * from plot_map where PROJECT_ID <> '') m on upper(f.plot_name)=m.k_plot""",
     "extraction_errors": """select distinct kind, folder_name, cast(null as string) as file_name from file_errors where kind in ('folder_name','no_project')
       union all select kind, folder_name, file_name from file_errors where kind in ('no_block','plot_mismatch')""",
@@ -226,8 +226,8 @@ BODIES: dict[str, str] = {
     "elements_of_type": f"select ord, {ELEMENT} from design_elements where TYPE in ('PLOT','TABLE')",
     "target_elements": f"select ord, {ELEMENT} from design_elements where PROJECT_ID in (select PROJECT_ID from targets)",
     "find_by_name": f"select ord, {ELEMENT} from design_elements where NAME='R21-S3' and TYPE='TABLE'",
-    "lookup_plots": f"""select request, plot_name, PLOT_ID, m.PLOT_NAME as PLOT_NAME_, PROJECT_ID, LOCATION_ID
-      from (select c_custkey as request, lower({S._code('c_custkey', S.C_FAMILY, '-')}) as plot_name from customer) r left join plot_map m on upper(r.plot_name)=m.k_plot""",
+    "lookup_plots": f"""select request, requested_plot, PLOT_ID, PLOT_NAME, PROJECT_ID, LOCATION_ID
+      from (select c_custkey as request, lower({S._code('c_custkey', S.C_FAMILY, '-')}) as requested_plot from customer) r left join plot_map m on upper(requested_plot)=m.k_plot""",
     "lookup_elements": f"""select r.*, s.ID is not null as found, s.ID as found_id, s.PARENT_ID as found_parent_id
       from (select c_custkey as request, {tag('project', 'n_regionkey')} as PROJECT_ID, lower({S.TABLE_NAME}) as NAME, 'Table' as TYPE
             from customer join nation on c_nationkey=n_nationkey) r

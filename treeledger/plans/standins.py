@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from treeledger.operators.lookups import plot_map
+from treeledger.operators.lookups import plot_map, plot_projects
 from treeledger.operators.order import number_rows
 from treeledger.plans.extract import Inputs, extract_located
 from treeledger.schema import ELEMENT_FIELDS
@@ -83,6 +83,16 @@ REGION_NAME = "substr('ABCDS', r_regionkey+1, 1)||'-'||cast(r_regionkey+12 as st
 TABLE_NAME = "case when c_custkey%2=0 then 'r' else 'R' end||cast(c_custkey%60 as string)||'-S'||cast(c_custkey%9 as string)"
 
 
+# The columns that are used; a given schema saves a job that would read file footers.
+SCHEMAS = {
+    "region": "r_regionkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "supplier": "s_suppkey bigint",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+}
+
+
 class Views:
     """The stand-in inputs for one data folder.  All are lazy."""
 
@@ -91,40 +101,38 @@ class Views:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
-    def files(self) -> DataFrame:
-        nation = self.table("nation").selectExpr(f"{NATION_FOLDER} as folder_name", f"{NATION_FILE} as file_name")
-        return nation.unionByName(
-            self.table("customer").selectExpr(f"{CUSTOMER_FOLDER} as folder_name", f"{CUSTOMER_FILE} as file_name")
+    def nation_files(self) -> DataFrame:
+        return self.table("nation").selectExpr(
+            "n_nationkey", "n_regionkey", f"{NATION_FOLDER} as folder_name", f"{NATION_FILE} as file_name"
         )
 
+    @cached_property
+    def files(self) -> DataFrame:
+        customers = self.table("customer").selectExpr(f"{CUSTOMER_FOLDER} as folder_name", f"{CUSTOMER_FILE} as file_name")
+        return self.nation_files.select("folder_name", "file_name").unionByName(customers)
+
     @cached_property
     def nation_orders(self) -> DataFrame:
         """Orders with the nation of their customer and the two raw cells."""
-        customers = self.table("customer").select("c_custkey", "c_nationkey")
-        placed = (
-            self.table("orders").select("o_orderkey", "o_custkey")
-            .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
-        )
-        return placed.selectExpr(
-            "n_nationkey", "n_regionkey", "o_orderkey", f"{TABLE_RAW} as table_raw", f"{INVERTER_RAW} as inverter_raw"
-        )
+        customers = self.table("customer").selectExpr("c_custkey", "c_nationkey as n_nationkey")
+        placed = self.table("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        return placed.selectExpr("n_nationkey", "o_orderkey", f"{TABLE_RAW} as table_raw", f"{INVERTER_RAW} as inverter_raw")
 
     @cached_property
     def sheet_rows(self) -> DataFrame:
         numbered = number_rows(self.nation_orders, ["n_nationkey"], "o_orderkey", "rn")
-        return numbered.selectExpr(
-            f"{NATION_FOLDER} as folder_name", f"{NATION_FILE} as file_name", "1 + rn as row_idx", "table_raw", "inverter_raw"
+        return numbered.join(self.nation_files, "n_nationkey").selectExpr(
+            "folder_name", "file_name", "1 + rn as row_idx", "table_raw", "inverter_raw"
         )
 
     @cached_property
     def sheet_cells(self) -> DataFrame:
         """Cells of the sheets, header row included."""
-        header = self.table("nation").selectExpr(
-            f"{NATION_FOLDER} as folder_name", f"{NATION_FILE} as file_name", "cast(1 as bigint) as row_idx",
+        header = self.nation_files.selectExpr(
+            "folder_name", "file_name", "cast(1 as bigint) as row_idx",
             f"'{HEADER[0]}' as table_raw", f"'{HEADER[1]}' as inverter_raw",
         )
         return unpivot_cells(header.unionByName(self.sheet_rows), F.lit("DWG Data"))
@@ -194,13 +202,17 @@ class Views:
             .select(F.col("rn").alias("line_no"), glued.alias("value"))
         )
 
+    @cached_property
+    def plot_projects(self) -> DataFrame:
+        return plot_projects(self.plots_projects)
+
     @cached_property
     def plot_map(self) -> DataFrame:
         return plot_map(self.plots_projects, self.plots)
 
     @cached_property
     def inputs(self) -> Inputs:
-        return Inputs(self.files, self.sheet_rows, self.plot_map, self.design_elements)
+        return Inputs(self.files, self.sheet_rows, self.plot_projects, self.design_elements)
 
     @cached_property
     def new_located(self) -> DataFrame:
@@ -222,14 +234,13 @@ class Views:
     def workbook_rows(self) -> DataFrame:
         """Rows of the generated workbooks: one workbook per nation and range of order keys."""
         chunked = self.nation_orders.withColumn("chunk", F.floor(F.col("o_orderkey") / CHUNK))
-        return chunked.selectExpr(
-            f"{NATION_FOLDER} as folder_name", f"{WORKBOOK_FILE} as file_name", "o_orderkey", "table_raw", "inverter_raw",
-            f"{BAD_ROW} as is_bad",
+        return chunked.join(self.nation_files.drop("file_name"), "n_nationkey").selectExpr(
+            "folder_name", f"{WORKBOOK_FILE} as file_name", "o_orderkey", "table_raw", "inverter_raw", f"{BAD_ROW} as is_bad"
         )
 
     @cached_property
     def plot_requests(self) -> DataFrame:
-        return self.table("customer").selectExpr("c_custkey as request", f"lower({_code('c_custkey', C_FAMILY, '-')}) as plot_name")
+        return self.table("customer").selectExpr("c_custkey as request", f"lower({_code('c_custkey', C_FAMILY, '-')}) as requested_plot")
 
     @cached_property
     def element_requests(self) -> DataFrame:
