@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import sys
 from collections.abc import Iterator
 
@@ -26,15 +28,24 @@ BATCH = 8192
 def scan_files(spark: SparkSession, root: str, pattern: str = "*.xlsx") -> DataFrame:
     """Files right inside the direct sub-folders of ``root``: path, length, content, folder_name, file_name.
 
-    A missing root or one without sub-folders raises.  The content is only read if a later step asks for it.
+    A missing or empty root raises.  The content is only read if a later step asks for it.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(f"{root.rstrip('/')}/*/")
-    return with_names(files)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folders_of(root))
+    return with_names(files, root)
 
 
-def with_names(files: DataFrame) -> DataFrame:
+def folders_of(root: str) -> str:
+    """The pattern of the sub-folders: Spark lists them in parallel, the driver never sees single files."""
+    return f"{root.rstrip('/')}/*/"
+
+
+def with_names(files: DataFrame, root: str) -> DataFrame:
+    """Add folder and file name; files that lie in ``root`` itself match the folder pattern too and are left out."""
+    plain = re.sub(r"^[A-Za-z][\w+.-]*:(//[^/]*)?", "", root) if ":" in root else os.path.abspath(root)
+    depth = len([part for part in plain.split("/") if part]) + 2
     folder, name = path_parts("path")
-    return files.select("path", "length", "content", folder.alias("folder_name"), name.alias("file_name"))
+    inside = files.where(F.col("path").rlike(rf"^(?:[A-Za-z][\w+.-]*:)?(?://[^/]*)?(?:/+[^/]+){{{depth}}}\z"))
+    return inside.select("path", "length", "content", folder.alias("folder_name"), name.alias("file_name"))
 
 
 def _local(tag: str) -> str:

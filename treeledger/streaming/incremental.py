@@ -53,7 +53,7 @@ def file_stream(spark: SparkSession, root: str, pattern: str = "*.xlsx", **optio
     """Sheet files as they arrive in the sub-folders of ``root``."""
     stream = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).options(**options)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    return sheets.with_names(stream.schema(schema).load(f"{root.rstrip('/')}/*/"))
+    return sheets.with_names(stream.schema(schema).load(sheets.folders_of(root)), root)
 
 
 def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) -> Callable[[DataFrame, int], None]:
