@@ -66,9 +66,9 @@ def elements(spark, *data):
 def test_elements_go_out_and_come_back(spark):
     path = scratch_path(spark, "t")
     odd = elements(spark, ("1", "p", ' a "b", c ', "TABLE", ""), ("2", "p", "x\ny", "TABLE", "1"))
-    assert sinks.write_elements(odd.withColumn("more", F.lit(1)), path, "csv")
+    assert sinks.write_elements(odd.withColumn("more", F.lit(1)), path, scratch_path(spark, "w"), "csv")
     assert rows(tables.read_elements(spark, path)) == rows(odd)
-    assert not sinks.write_elements(odd.limit(0), scratch_path(spark, "none"))
+    assert not sinks.write_elements(odd.limit(0), scratch_path(spark, "none"), scratch_path(spark, "w"))
 
 
 def test_snapshot_never_overwrites(spark):

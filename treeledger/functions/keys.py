@@ -10,10 +10,13 @@ UNIT = "\x1f"
 
 
 def with_keys(df: DataFrame) -> DataFrame:
-    """Add ``k_project``, ``k_name`` and ``k_type``; two elements are the same when all three agree."""
-    return df.withColumns(
-        {"k_project": F.lower("PROJECT_ID"), "k_name": F.upper("NAME"), "k_type": F.upper("TYPE")}
-    )
+    """Add ``k_project``, ``k_name`` and ``k_type``; two elements are the same when all three agree.
+
+    A table that stores these columns (for example one that is bucketed by them) is taken as it is.
+    """
+    if "k_name" in df.columns:
+        return df
+    return df.selectExpr("*", "lower(PROJECT_ID) as k_project", "upper(NAME) as k_name", "upper(TYPE) as k_type")
 
 
 def uuid_from(*parts: Column | str) -> Column:

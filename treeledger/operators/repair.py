@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeledger.operators.verify import absent_parents
+from treeledger.operators.verify import without_row
 from treeledger.schema import ELEMENT_FIELDS
 
 ID_LENGTH = 36
@@ -72,7 +72,7 @@ def missing_parents(elements: DataFrame, order: str = "ord") -> DataFrame:
     per_parent = blocks.groupBy("PARENT_ID").agg(
         F.count(F.lit(1)).alias("n_blocks"), F.min(order).alias("first_ord"), F.min_by("PROJECT_ID", order).alias("PROJECT_ID")
     )
-    return per_parent.join(elements.select(F.col("ID").alias("PARENT_ID")), "PARENT_ID", "left_anti")
+    return without_row(per_parent, elements)
 
 
 def restore_missing_plot(elements: DataFrame, name: str, order: str = "ord") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeledger.functions.names import label
-from treeledger.operators.order import keep_first
+from treeledger.operators.tree import parents_of
 from treeledger.schema import TYPES
 
 
@@ -60,7 +60,7 @@ def block_breakdown(elements: DataFrame, order: list[str]) -> DataFrame:
     """TABLE and INVERTER counts per project and parent name; equally named parents of a project are added up."""
     leaves = elements.where(F.col("TYPE").isin("TABLE", "INVERTER"))
     per_parent = leaves.groupBy("PROJECT_ID", "PARENT_ID").agg(*_type_counts(TYPES[2:]))
-    parents = keep_first(elements.select("ID", "NAME", *order), ["ID"], order)
+    parents = parents_of(elements, order, per_parent)
     named = per_parent.join(
         parents.select(F.col("ID").alias("PARENT_ID"), F.col("NAME").alias("block_name")), "PARENT_ID"
     )
@@ -83,24 +83,17 @@ def rows_per_file(files: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def lookup_stats(plots_by_name: DataFrame, survivors: DataFrame) -> DataFrame:
-    """Sizes of the lookups: plots, element keys, projects as spelled, projects and ids ignoring case."""
-    def counters(df: DataFrame, **measures: Column) -> DataFrame:
-        names = ["n_plots", "n_keys", "n_projects", "n_projects_nocase", "n_ids"]
-        return df.agg(*[m.alias(k) for k, m in measures.items()]).select(
-            *[F.col(n) if n in measures else F.lit(0).cast("bigint").alias(n) for n in names]
-        )
-
-    plots = counters(plots_by_name, n_plots=_n())
-    # One row per value before counting: the distinct values spread over all tasks.
-    keys = counters(survivors, n_keys=_n())
-    projects = counters(
-        survivors.select("PROJECT_ID").distinct(),
-        n_projects=_n(),
-        n_projects_nocase=F.count_distinct(F.lower("PROJECT_ID")),
+    """Sizes of the lookups: plots, element keys, projects as spelled, projects and ids ignoring case.
+
+    Distinct values are spread over all tasks before they are counted, in one pass over the survivors.
+    """
+    return survivors.agg(
+        plots_by_name.agg(_n()).scalar().alias("n_plots"),
+        _n().alias("n_keys"),
+        F.count_distinct("PROJECT_ID").alias("n_projects"),
+        F.count_distinct(F.lower("PROJECT_ID")).alias("n_projects_nocase"),
+        F.count_distinct(F.lower("ID")).alias("n_ids"),
     )
-    ids = counters(survivors.select(F.lower("ID").alias("id")).distinct(), n_ids=_n())
-    parts = plots.unionByName(keys).unionByName(projects).unionByName(ids)
-    return parts.agg(*[F.sum(c).alias(c) for c in parts.columns])
 
 
 def project_elements(survivors: DataFrame) -> DataFrame:
@@ -147,13 +140,23 @@ def plot_presence(elements: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def summary_long(elements: DataFrame, targets: DataFrame) -> DataFrame:
-    """The verification summary as (section, item, n): the total, counts by type, counts by target."""
-    total = elements.agg(_n().alias("n")).select(F.lit("total").alias("section"), F.lit("rows").alias("item"), "n")
-    by_type = count_by(elements, "TYPE").select(F.lit("type").alias("section"), F.col("TYPE").alias("item"), "n")
-    by_target = target_summary(elements, targets).unpivot(
-        ["PLOT_NAME"], ["n_total"] + [f"n_{k.lower()}" for k in TYPES], "measure", "n"
+    """The verification summary as (section, item, n): the total, counts by type, counts by target.
+
+    All three come from the counts per project and type, so the elements are read and shuffled once.
+    """
+    base = count_by(elements, "PROJECT_ID", "TYPE")
+    total = base.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    total = total.select(F.lit("total").alias("section"), F.lit("rows").alias("item"), "n")
+    by_type = base.groupBy("TYPE").agg(F.sum("n").alias("n"))
+    by_type = by_type.select(F.lit("type").alias("section"), F.col("TYPE").alias("item"), "n")
+    measures = {"n_total": F.lit(True)} | {f"n_{k.lower()}": F.col("TYPE") == k for k in TYPES}
+    per_target = (
+        targets.join(base, "PROJECT_ID", "left")
+        .groupBy("PLOT_NAME")
+        .agg(*[F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)).alias(m) for m, c in measures.items()])
+        .unpivot(["PLOT_NAME"], list(measures), "measure", "n")
     )
-    by_target = by_target.select(
+    by_target = per_target.select(
         F.lit("target").alias("section"), F.concat_ws(":", "PLOT_NAME", "measure").alias("item"), "n"
     )
     return total.unionByName(by_type).unionByName(by_target)

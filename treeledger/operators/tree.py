@@ -6,14 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeledger.operators.order import keep_first
+from treeledger.schema import TYPES
+
+
+def parents_of(elements: DataFrame, order: list[str], children: DataFrame | None = None) -> DataFrame:
+    """The elements that are named as a parent, the first row of each id.
+
+    Parents are few; the semi-join picks them out before anything is grouped, so the leaves are not shuffled for it.
+    """
+    asked = (elements if children is None else children).select(F.col("PARENT_ID").alias("ID")).distinct()
+    rows = elements.select("ID", "NAME", "TYPE", "PARENT_ID", *order).join(asked, "ID", "left_semi")
+    return keep_first(rows, ["ID"], order).drop(*order)
 
 
 def children_with_parent(elements: DataFrame, order: list[str]) -> DataFrame:
     """Each TABLE and INVERTER with the name of its parent: the first element of that id, of any type."""
-    parents = keep_first(elements.select("ID", "NAME", *order), ["ID"], order).select(
+    leaves = elements.where(F.col("TYPE").isin("TABLE", "INVERTER"))
+    parents = parents_of(elements, order, leaves).select(
         F.col("ID").alias("PARENT_ID"), F.col("NAME").alias("parent_name")
     )
-    leaves = elements.where(F.col("TYPE").isin("TABLE", "INVERTER"))
     return leaves.join(parents, "PARENT_ID").select("PROJECT_ID", "ID", "NAME", "TYPE", "PARENT_ID", "parent_name")
 
 
@@ -22,9 +33,9 @@ def element_paths(elements: DataFrame, order: list[str]) -> DataFrame:
 
     Blocks are joined to plots first, so that the leaves, which are nearly all rows, take part in one join only.
     """
-    first = keep_first(elements.select("ID", "NAME", "TYPE", "PARENT_ID", *order), ["ID"], order)
-    plots = first.where("TYPE = 'PLOT'").select(F.col("ID").alias("p_id"), F.col("NAME").alias("plot"))
-    blocks = first.where("TYPE = 'BLOCK'").select(F.col("ID").alias("b_id"), F.col("NAME").alias("block"), "PARENT_ID")
+    parents = parents_of(elements, order)
+    plots = parents.where("TYPE = 'PLOT'").select(F.col("ID").alias("p_id"), F.col("NAME").alias("plot"))
+    blocks = parents.where("TYPE = 'BLOCK'").select(F.col("ID").alias("b_id"), F.col("NAME").alias("block"), "PARENT_ID")
     above = blocks.join(plots, F.col("PARENT_ID") == F.col("p_id"), "left").select("b_id", "block", "plot").unionByName(
         plots.select(F.col("p_id").alias("b_id"), F.lit(None).cast("string").alias("block"), "plot")
     )
@@ -38,23 +49,25 @@ def element_paths(elements: DataFrame, order: list[str]) -> DataFrame:
 def sample_chain(elements: DataFrame, order: list[str]) -> DataFrame:
     """The first PLOT, its first BLOCK, and the first TABLE and INVERTER of that block; nulls where a level is empty.
 
-    Each level is a global ``min_by``, which leaves one row, so every join has a one-row side.
+    Each level is a global ``min_by``, which leaves one row; the four rows are put side by side by one more aggregate.
     """
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
-    def first(df: DataFrame, level: str) -> DataFrame:
-        return df.agg(F.min_by(F.struct("ID", "NAME"), rank).alias(level)).select(
-            F.lit(1).alias("one"), F.col(f"{level}.ID").alias(f"{level}_id"), F.col(f"{level}.NAME").alias(f"{level}_name")
-        )
+    def first(rows: DataFrame, kind: str) -> DataFrame:
+        picked = rows.agg(F.min_by(F.struct("ID", "NAME"), rank).alias("e"))
+        return picked.select(F.lit(kind).alias("kind"), F.col("e.ID").alias("id"), F.col("e.NAME").alias("name"))
 
-    def below(parent: DataFrame, parent_id: str, kind: str) -> DataFrame:
+    def below(parent: DataFrame, kind: str) -> DataFrame:
         children = elements.where(F.col("TYPE") == kind)
-        hit = children.join(parent.select(F.col(parent_id).alias("PARENT_ID")), "PARENT_ID", "left_semi")
-        return first(hit, kind.lower())
-
-    plot = first(elements.where("TYPE = 'PLOT'"), "plot")
-    block = below(plot, "plot_id", "BLOCK")
-    chain = plot.join(block, "one")
-    for kind in ("TABLE", "INVERTER"):
-        chain = chain.join(below(block, "block_id", kind), "one")
-    return chain.drop("one")
+        return first(children.join(parent.select(F.col("id").alias("PARENT_ID")), "PARENT_ID", "left_semi"), kind)
+
+    plot = first(elements.where("TYPE = 'PLOT'"), "PLOT")
+    block = below(plot, "BLOCK")
+    levels = plot.unionByName(block).unionByName(below(block, "TABLE")).unionByName(below(block, "INVERTER"))
+    return levels.agg(
+        *[
+            F.max(F.when(F.col("kind") == kind, F.col(field))).alias(f"{kind.lower()}_{field}")
+            for kind in TYPES
+            for field in ("id", "name")
+        ]
+    )

@@ -14,8 +14,18 @@ def absent_parents(children: DataFrame, known: DataFrame) -> DataFrame:
 
     Distinct parents first: a block with millions of leaves sends one row per task into the join.
     """
-    asked = children.where("PARENT_ID <> ''").select("PARENT_ID").distinct()
-    return asked.join(known.select(F.col("ID").alias("PARENT_ID")), "PARENT_ID", "left_anti")
+    return without_row(children.where("PARENT_ID <> ''").select("PARENT_ID").distinct(), known)
+
+
+def without_row(asked: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows of ``asked`` whose PARENT_ID is no ID in ``known``.
+
+    The ids that do exist are found first, with the few parents on the side that can be broadcast or turned into a
+    runtime filter.  A direct anti-join would have to move every id of ``known``.
+    """
+    wanted = asked.select("PARENT_ID")
+    present = known.select(F.col("ID").alias("PARENT_ID")).join(wanted, "PARENT_ID", "left_semi")
+    return asked.join(present, "PARENT_ID", "left_anti")
 
 
 def hierarchy_issues(elements: DataFrame, master: DataFrame | None = None) -> DataFrame:
@@ -114,7 +124,7 @@ def sheet_profile(cells: DataFrame) -> DataFrame:
 
     rows = {1: "header", 2: "row_2", 3: "row_3", 4: "row_4", 5: "row_5"}
     profiled = per_sheet.select(*sheet, "max_row", "max_col", *[row(i).alias(n) for i, n in rows.items()])
-    alike = profiled.groupBy("folder_name").agg((F.count_distinct("header") == 1).alias("same_header"))
+    alike = profiled.groupBy("folder_name").agg((F.min("header") == F.max("header")).alias("same_header"))
     return profiled.join(alike, "folder_name").select(*sheet, "max_row", "max_col", *rows.values(), "same_header")
 
 

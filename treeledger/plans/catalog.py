@@ -400,7 +400,7 @@ def extract_elements_allow_dups(v: Views) -> DataFrame:
 @query
 def new_elements_written(v: Views) -> DataFrame:
     path = scratch(v, "out")
-    sinks.write_elements(v.new_elements, path, "csv")
+    sinks.write_elements(v.new_elements, path, scratch(v, "new"), "csv")
     return tables.read_elements(v.spark, path)
 
 

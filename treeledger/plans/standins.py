@@ -171,9 +171,9 @@ class Views:
 
     @cached_property
     def design_elements(self) -> DataFrame:
-        plot = self.spark.range(1).selectExpr(
-            "cast(0 as bigint) as ord", f"{uid(repr('m|PLOT|0'))} as ID", f"{uid(repr('project|0'))} as PROJECT_ID",
-            "'A-12a' as NAME", "'PLOT' as TYPE", "'' as PARENT_ID",
+        plot = self.table("region").where("r_regionkey = 0").selectExpr(
+            "cast(r_regionkey as bigint) as ord", f"{tag('m|PLOT', 'r_regionkey')} as ID", f"{tag('project', 'r_regionkey')} as PROJECT_ID",
+            f"{REGION_NAME} as NAME", "'PLOT' as TYPE", "'' as PARENT_ID",
         )
         nation = self.table("nation")
         blocks = nation.where("n_regionkey in (0,1) and n_nationkey < 15").selectExpr(

@@ -25,18 +25,19 @@ ROWS = "folder_name string, file_name string, row_idx bigint, table_raw string,
 BATCH = 8192
 
 
-def scan_files(spark: SparkSession, root: str, pattern: str = "*.xlsx") -> DataFrame:
+def scan_files(spark: SparkSession, root: str, pattern: str = "*.xlsx", folders: str = "*") -> DataFrame:
     """Files right inside the direct sub-folders of ``root``: path, length, content, folder_name, file_name.
 
-    A missing or empty root raises.  The content is only read if a later step asks for it.
+    A missing or empty root raises.  The content is only read if a later step asks for it.  The driver holds the list
+    of files, so a tree of very many files is read in slices of ``folders``, or by incremental runs.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folders_of(root))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folders_of(root, folders))
     return with_names(files, root)
 
 
-def folders_of(root: str) -> str:
-    """The pattern of the sub-folders: Spark lists them in parallel, the driver never sees single files."""
-    return f"{root.rstrip('/')}/*/"
+def folders_of(root: str, folders: str = "*") -> str:
+    """The pattern of the sub-folders; Spark lists the matching folders in parallel."""
+    return f"{root.rstrip('/')}/{folders}/"
 
 
 def with_names(files: DataFrame, root: str) -> DataFrame:

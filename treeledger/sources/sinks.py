@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from treeledger.operators.filters import to_schema
 
 
-def write_elements(elements: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """Write the five fields in order, replacing the target.  Nothing is written when there are no elements."""
-    out = to_schema(elements)
+def write_elements(elements: DataFrame, path: str, work: str, fmt: str = "parquet") -> bool:
+    """Write the five fields in order, replacing the target.  Nothing is written when there are no elements.
+
+    The elements are computed once, into the folder ``work``; looking whether there are any then costs nothing.
+    """
+    out = handoff(to_schema(elements), work)
     if out.isEmpty():
         return False
     writer = out.hint("rebalance").write.mode("overwrite").format(fmt)

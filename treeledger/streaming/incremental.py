@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from treeledger.plans.extract import Inputs, extract_located
+from treeledger.plans.extract import Inputs, extract_located, usable_files
 from treeledger.schema import ELEMENT_FIELDS, VISIT_ORDER
 from treeledger.sources import sheets
 
@@ -49,11 +49,14 @@ def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def file_stream(spark: SparkSession, root: str, pattern: str = "*.xlsx", **options) -> DataFrame:
-    """Sheet files as they arrive in the sub-folders of ``root``."""
+def file_stream(spark: SparkSession, root: str, pattern: str = "*.xlsx", folders: str = "*", **options) -> DataFrame:
+    """Sheet files as they arrive in the sub-folders of ``root``.
+
+    Options go to the source; ``maxFilesPerTrigger`` bounds a batch.
+    """
     stream = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern).options(**options)
     schema = "path string, modificationTime timestamp, length bigint, content binary"
-    return sheets.with_names(stream.schema(schema).load(sheets.folders_of(root)), root)
+    return sheets.with_names(stream.schema(schema).load(sheets.folders_of(root, folders)), root)
 
 
 def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) -> Callable[[DataFrame, int], None]:
@@ -62,10 +65,10 @@ def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) ->
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = sheets.readable(sheets.sheet_rows(batch))
-        # Only the partitions of projects that can occur are read: a filter on the partition column, from the plot map.
-        projects = plots.select(F.lower("PROJECT_ID").alias("k_project")).distinct()
-        master = read_store(spark, store_path).join(projects, "k_project", "left_semi").drop("k_project")
         files = batch.select("folder_name", "file_name")
+        # Only the partitions of the projects in this batch are read: the join prunes by the partition column.
+        projects = usable_files(files, plots).select(F.lower("PROJECT_ID").alias("k_project")).distinct()
+        master = read_store(spark, store_path).join(projects, "k_project", "left_semi").drop("k_project")
         inputs = Inputs(files, rows, plots, master, tuple(STORE_ORDER))
         new = extract_located(inputs, allow_duplicates).join(master.select("ID"), "ID", "left_anti")
         _write(to_store(new, batch_id), store_path, "append")
