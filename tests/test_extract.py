@@ -8,7 +8,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from treeledger.operators.verify import hierarchy_issues
-from treeledger.plans.extract import Inputs, extract_elements, extract_located, extraction_errors, run_stats
+from treeledger.plans.extract import Inputs, extract_elements, extract_located, extraction_errors, read_inputs, run_stats, run_status
 from treeledger.plans.workbooks import pack, sheet_xml
 from treeledger.schema import ELEMENT, ELEMENT_FIELDS
 from treeledger.sources import sheets
@@ -96,9 +96,8 @@ def inputs(spark, tmp_path_factory):
             (root / folder).mkdir(exist_ok=True)
             (root / folder / name).write_bytes(pack({"DWG Data": sheet_xml([["T", "I"], *grid])}))
         scanned = sheets.scan_files(spark, str(root))
-        return Inputs(
-            scanned.select("folder_name", "file_name"),
-            sheets.readable(sheets.sheet_rows(scanned)),
+        return read_inputs(
+            scanned,
             spark.createDataFrame(PLOTS, "k_plot string, PROJECT_ID string"),
             spark.createDataFrame(MASTER, "ord int, ID string, PROJECT_ID string, NAME string, TYPE string, PARENT_ID string"),
         )
@@ -116,14 +115,14 @@ def named_parents(found):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_the_simulation(inputs, seed, allow_duplicates):
     tables = grids(seed)
-    found = extract_elements(inputs(tables), allow_duplicates).collect()
+    found = extract_elements(inputs(tables)[0], allow_duplicates).collect()
     assert named_parents(found) == simulate(tables, allow_duplicates)
     assert len({e.ID for e in found}) == len(found)
 
 
 def test_counters_and_errors(inputs):
     tables = grids(4)
-    given = inputs(tables)
+    given, failed = inputs(tables)
     found = extract_elements(given).collect()
     stats = run_stats(given).first().asDict()
     made = [e.TYPE for e in found]
@@ -136,20 +135,24 @@ def test_counters_and_errors(inputs):
     assert stats["total_created"] == len(found)
     again = run_stats(given, allow_duplicates=True).first()
     assert again["tables_created"] == again["tables_extracted"] == stats["tables_extracted"] and again["tables_skipped"] == 0
-    errors = rows(extraction_errors(given.files, given.plots))
+    bad = [(*f, "sheet_error") for f in tables if any(len(r) != 2 for r in tables[f])]
+    usable = {f for f in FILES if f[0][0] in "AB" and "-BL" in f[1].upper()}
+    errors = rows(extraction_errors(given.files, given.plots, failed))
+    assert run_status(extraction_errors(given.files, given.plots, failed)).first()["status"] == "errors"
     assert errors == sorted(
         [
             ("no_block", "A16a - 50 MW", "x-A16a-R0.xlsx"),
             ("plot_mismatch", "A16a - 50 MW", "x A16a-BL03-R0.xlsx"),
             ("no_project", "C03c - 1", None),
             ("folder_name", "Notes", None),
+            *[(kind, folder, name) for folder, name, kind in bad if (folder, name) in usable],
         ],
         key=repr,
     )
 
 
 def test_second_run_creates_nothing_and_parents_resolve(spark, inputs):
-    given = inputs(grids(5))
+    given = inputs(grids(5))[0]
     new = extract_elements(given)
     grown = given.master.unionByName(new.withColumn("ord", F.lit(99)))
     assert extract_elements(Inputs(given.files, given.rows, given.plots, grown)).isEmpty()
@@ -157,7 +160,7 @@ def test_second_run_creates_nothing_and_parents_resolve(spark, inputs):
 
 
 def test_no_input_gives_no_elements(spark, inputs):
-    given = inputs(grids(6))
+    given = inputs(grids(6))[0]
     empty = Inputs(given.files.limit(0), given.rows.limit(0), given.plots, given.master)
     assert extract_elements(empty).isEmpty()
     assert run_stats(empty).first()["total_extracted"] == 0
@@ -180,7 +183,7 @@ def test_hot_name_and_hot_block_keep_every_row(spark):
 
 
 def test_plan_has_no_python_no_cartesian_and_pre_aggregates(spark, inputs):
-    given = inputs(grids(7))
+    given = inputs(grids(7))[0]
     stored = given.rows.limit(0).drop("error")
     plan = extract_located(Inputs(given.files, spark.createDataFrame([], stored.schema), given.plots, given.master))
     text = plan.select(*ELEMENT_FIELDS)._jdf.queryExecution().executedPlan().toString()

@@ -67,6 +67,12 @@ def scan_sheet_rows(v: Views) -> DataFrame:
     return rows.select("folder_name", "file_name", "row_idx", "table_raw", "inverter_raw", F.col("error").isNotNull().alias("is_error"))
 
 
+@query
+def scan_sheet_cells(v: Views) -> DataFrame:
+    cells = sheets.sheet_cells(sheets.scan_files(v.spark, _packed(v)))
+    return cells.select("folder_name", "file_name", "sheet_name", "is_active", "row_idx", "col_idx", "value")
+
+
 @query
 def load_plots_projects(v: Views) -> DataFrame:
     path = _as_csv(v, v.plots_projects, PLOT_PROJECT_FIELDS)
@@ -112,7 +118,9 @@ def staged_rewrite(v: Views) -> DataFrame:
 
 @query
 def summary_long(v: Views) -> DataFrame:
-    return rollups.summary_long(v.design_elements, v.targets)
+    path = scratch(v, "summary")
+    sinks.write_summary(rollups.summary_long(v.design_elements, v.targets), path)
+    return v.spark.read.schema("section string, item string, n bigint").json(path)
 
 
 # --- projections -----------------------------------------------------------------------------------------------------
@@ -422,6 +430,18 @@ def run_stats_allow_dups(v: Views) -> DataFrame:
     return extract.run_stats(v.inputs, allow_duplicates=True)
 
 
+@query
+def run_status(v: Views) -> DataFrame:
+    return extract.run_status(extract.extraction_errors(v.files, v.plot_projects))
+
+
+@query
+def workbook_errors(v: Views) -> DataFrame:
+    scanned = sheets.scan_files(v.spark, _packed(v))
+    inputs, failed = extract.read_inputs(scanned, v.plot_projects, v.design_elements)
+    return extract.extraction_errors(inputs.files, v.plot_projects, failed)
+
+
 @query
 def rows_per_file(v: Views) -> DataFrame:
     return rollups.rows_per_file(v.files, v.sheet_rows)
@@ -561,6 +581,14 @@ def truncate_glued_rows(v: Views) -> DataFrame:
     return repair.truncate_glued_lines(v.raw_lines)
 
 
+@query
+def repair_glued_file(v: Views) -> DataFrame:
+    path = scratch(v, "lines")
+    header = v.spark.range(1).select(F.lit(",".join(ELEMENT_FIELDS)).alias("value"))
+    header.unionAll(v.raw_lines.select("value")).write.text(path)
+    return repair.split_glued_lines(tables.read_lines(v.spark, path)).select(*ELEMENT_FIELDS)
+
+
 @query
 def missing_parents(v: Views) -> DataFrame:
     return repair.missing_parents(v.design_elements)

@@ -24,6 +24,7 @@ from treeledger.functions.keys import element_id, with_keys
 from treeledger.operators.identity import default_id, known_keys, occurrence_id
 from treeledger.operators.order import keep_first, keep_last
 from treeledger.schema import ELEMENT_FIELDS, KEY, VISIT_ORDER
+from treeledger.sources import sheets
 
 MASTER_ORDER = ["ord"]
 
@@ -50,8 +51,11 @@ def usable_files(files: DataFrame, plots: DataFrame) -> DataFrame:
     return resolve_projects(name_files(files).where("plot_name is not null and block_name is not null"), plots)
 
 
-def extraction_errors(files: DataFrame, plots: DataFrame) -> DataFrame:
-    """What the run reports, once per folder or file.  ``plot_mismatch`` is a warning: such a file is still used."""
+def extraction_errors(files: DataFrame, plots: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """What the run reports, once per folder or file.  ``plot_mismatch`` is a warning: such a file is still used.
+
+    ``failed`` holds the files that could not be read to the end (``row_errors``); they count if they were usable.
+    """
     named = name_files(files).withColumn("k_plot", F.upper("plot_name"))
     known = plots.where("PROJECT_ID <> ''").select("k_plot", "PROJECT_ID")
     checked = named.join(known, "k_plot", "left")
@@ -69,7 +73,22 @@ def extraction_errors(files: DataFrame, plots: DataFrame) -> DataFrame:
         "kind", "folder_name", F.lit(None).cast("string").alias("file_name")
     )
     per_file = found.where("kind in ('no_block', 'plot_mismatch')").select("kind", "folder_name", "file_name")
-    return per_folder.distinct().unionByName(per_file)
+    errors = per_folder.distinct().unionByName(per_file)
+    if failed is None:
+        return errors
+    opened = failed.select("folder_name", "file_name").distinct()
+    unread = usable_files(opened, plots).select(F.lit("sheet_error").alias("kind"), "folder_name", "file_name")
+    return errors.unionByName(unread)
+
+
+def run_status(errors: DataFrame) -> DataFrame:
+    """How a run ended: ok, warnings (only mismatched plot names) or errors; with the number of each."""
+    warning = F.col("kind") == "plot_mismatch"
+    counts = errors.agg(
+        F.count(F.when(warning, 1)).alias("n_warnings"), F.count(F.when(~warning, 1)).alias("n_errors")
+    )
+    status = F.when(F.col("n_errors") > 0, "errors").when(F.col("n_warnings") > 0, "warnings").otherwise("ok")
+    return counts.withColumn("status", status)
 
 
 def unpivot_leaves(rows: DataFrame) -> DataFrame:
@@ -169,6 +188,20 @@ class Inputs:
     order: tuple[str, ...] = ("ord",)
 
 
+def read_inputs(
+    scanned: DataFrame, plots: DataFrame, master: DataFrame, order: tuple[str, ...] = ("ord",)
+) -> tuple[Inputs, DataFrame]:
+    """Inputs from scanned sheet files, and the files that could not be read.
+
+    Files whose folder or name gives no plot or block are never opened.  There is no join before the files are parsed:
+    it could move their content.
+    """
+    named = N.plot_from_folder("folder_name").isNotNull() & N.block_from_file("file_name").isNotNull()
+    parsed = sheets.sheet_rows(scanned.where(named))
+    files = scanned.select("folder_name", "file_name")
+    return Inputs(files, sheets.readable(parsed), plots, master, order), sheets.row_errors(parsed)
+
+
 def extract_located(inputs: Inputs, allow_duplicates: bool = False) -> DataFrame:
     """New elements of all levels, each with the place where it was first met."""
     usable = usable_files(inputs.files, inputs.plots)

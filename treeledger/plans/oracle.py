@@ -186,6 +186,11 @@ BODIES: dict[str, str] = {
     "scan_sheet_files": "select distinct folder_name, file_name from workbook_all",
     "scan_sheet_rows": """select folder_name, file_name, row_idx, table_raw, inverter_raw, false as is_error from workbook_rows
       union all select folder_name, file_name, null, null, null, true from workbook_bad""",
+    "scan_sheet_cells": f"""select folder_name, file_name, 'DWG Data' as sheet_name, true as is_active, row_idx, cast(1 as bigint) as col_idx, table_raw as value from workbook_all
+      union all select folder_name, file_name, 'DWG Data', true, row_idx, 2, inverter_raw from workbook_all where inverter_raw is not null
+      union all select folder_name, file_name, 'DWG Data', true, row_idx, 3, 'extra' from workbook_all where is_bad
+      union all select folder_name, file_name, 'DWG Data', true, 1, 1, '{S.HEADER[0]}' from (select distinct folder_name, file_name from workbook_all)
+      union all select folder_name, file_name, 'DWG Data', true, 1, 2, '{S.HEADER[1]}' from (select distinct folder_name, file_name from workbook_all)""",
     "load_plots_projects": "select ID, PROJECT_ID, PLOT_ID, PLOT_NAME from plots_projects",
     "load_plots": """select ID, LOCATION_ID, NAME, DESIGN_ELEMENT_ID
       from (select *, row_number() over (partition by ID order by ord desc) as back from plots) where back=1""",
@@ -276,6 +281,10 @@ BODIES: dict[str, str] = {
       from leaves group by 1, 2, 3 having count(*) > 1""",
     "run_stats": _stats("new_leaves"),
     "run_stats_allow_dups": _stats("all_leaves"),
+    "run_status": """select *, case when n_errors>0 then 'errors' when n_warnings>0 then 'warnings' else 'ok' end as status
+      from (select count(*) filter (kind='plot_mismatch') as n_warnings, count(*) filter (kind<>'plot_mismatch') as n_errors from extraction_errors)""",
+    "workbook_errors": """select kind, folder_name, file_name from extraction_errors
+      union all select 'sheet_error', folder_name, file_name from workbook_bad join usable using (folder_name, file_name)""",
     "rows_per_file": """select f.folder_name, f.file_name, count(r.row_idx) as n_rows, count(r.row_idx)=0 as is_empty
       from files f left join sheet_rows r using (folder_name, file_name) group by all""",
     "count_by_type": "select TYPE, count(*) as n from (select TYPE from design_elements union all select TYPE from new_elements) group by TYPE",
@@ -318,6 +327,7 @@ BODIES: dict[str, str] = {
     "repair_glued_rows": """select line_no, cast(0 as bigint) as part, f[1] as ID, f[2] as PROJECT_ID, f[3] as NAME, f[4] as TYPE, case when len(f)=9 then left(f[5], length(f[5])-36) else f[5] end as PARENT_ID from line_fields
       union all select line_no, 1, right(f[5], 36), f[6], f[7], f[8], f[9] from line_fields where len(f)=9""",
     "truncate_glued_rows": "select line_no, f[1] as ID, f[2] as PROJECT_ID, f[3] as NAME, f[4] as TYPE, f[5] as PARENT_ID from line_fields",
+    "repair_glued_file": f"select {ELEMENT} from design_elements",
     "missing_parents": "select * from missing",
     "restore_missing_plot": "select * from restored",
     "verify_repair": """select count(*) as n_rows, count(*) filter (is_it) as n_found, min(PROJECT_ID) filter (is_it) as PROJECT_ID, min(NAME) filter (is_it) as NAME,
@@ -345,8 +355,8 @@ def _for_workbooks() -> dict[str, str]:
     late = {n: sql for n, sql in VIEWS.items() if n not in ("files", "sheet_rows", "sheet_cells", "headers", "samples", "tagged")}
     names = list(late)
     at = names.index("workbook_rows") + 1
-    ordered = {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
-    return ordered
+    return {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
 
 
-ORACLES = {name: complete(body, _for_workbooks() if name == "incremental_extract" else VIEWS) for name, body in BODIES.items()}
+OVER_WORKBOOKS = {"incremental_extract", "workbook_errors"}
+ORACLES = {name: complete(body, _for_workbooks() if name in OVER_WORKBOOKS else VIEWS) for name, body in BODIES.items()}

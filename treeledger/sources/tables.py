@@ -72,6 +72,7 @@ def read_projects(spark: SparkSession, path: str, **options) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of text files with their order in ``line_no`` (increasing inside a file, not dense)."""
-    return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
+def read_lines(spark: SparkSession, path: str, header: str = ",".join(ELEMENT_FIELDS)) -> DataFrame:
+    """Physical lines of text files without their header; ``line_no`` tells lines apart but is not dense."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), "value")
+    return lines.where(F.col("value") != header)

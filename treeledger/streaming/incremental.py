@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from treeledger.plans.extract import Inputs, extract_located, usable_files
+from treeledger.plans.extract import extract_located, read_inputs, usable_files
 from treeledger.schema import ELEMENT_FIELDS, VISIT_ORDER
 from treeledger.sources import sheets
 
@@ -64,12 +64,11 @@ def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) ->
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = sheets.readable(sheets.sheet_rows(batch))
         files = batch.select("folder_name", "file_name")
         # Only the partitions of the projects in this batch are read: the join prunes by the partition column.
         projects = usable_files(files, plots).select(F.lower("PROJECT_ID").alias("k_project")).distinct()
         master = read_store(spark, store_path).join(projects, "k_project", "left_semi").drop("k_project")
-        inputs = Inputs(files, rows, plots, master, tuple(STORE_ORDER))
+        inputs, _ = read_inputs(batch, plots, master, tuple(STORE_ORDER))
         new = extract_located(inputs, allow_duplicates).join(master.select("ID"), "ID", "left_anti")
         _write(to_store(new, batch_id), store_path, "append")
 
