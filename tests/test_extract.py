@@ -7,11 +7,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from treeledger.operators.identity import first_by_key, known_keys
 from treeledger.operators.verify import hierarchy_issues
-from treeledger.plans.extract import Inputs, extract_elements, extract_located, extraction_errors, read_inputs, run_stats, run_status
+from treeledger.plans.extract import Inputs, extract_elements, extract_located, extraction_errors, label_leaves, read_inputs, run_stats, run_status
 from treeledger.plans.workbooks import pack, sheet_xml
-from treeledger.schema import ELEMENT, ELEMENT_FIELDS
-from treeledger.sources import sheets
+from treeledger.schema import ELEMENT, ELEMENT_FIELDS, KEY
+from treeledger.sources import sheets, sinks
 
 PLOTS = [("A-16A", "pA"), ("A-16B", "pA"), ("B-02", "pB"), ("C-03C", "")]
 MASTER = [
@@ -188,3 +189,25 @@ def test_plan_has_no_python_no_cartesian_and_pre_aggregates(spark, inputs):
     plan = extract_located(Inputs(given.files, spark.createDataFrame([], stored.schema), given.plots, given.master))
     text = plan.select(*ELEMENT_FIELDS)._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in text and "NestedLoop" not in text and "Python" not in text and "partial_min_by" in text
+
+
+def test_bucketed_master_is_not_shuffled(spark, inputs):
+    given, _ = inputs(grids(9))
+    sinks.save_bucketed(given.master, "bucketed_master", 8)
+    stored = Inputs(given.files, given.rows, given.plots, spark.table("bucketed_master"))
+    assert rows(extract_elements(stored)) == rows(extract_elements(given))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        leaves = label_leaves(stored.rows, stored.plots)
+        new = first_by_key(leaves).join(known_keys(stored.master), KEY, "left_anti")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        unmoved = r"\+- Sort .*\n\s*\+- Filter .*\n\s*\+- FileScan parquet \S*bucketed_master.*Bucketed: true"
+        assert re.search(unmoved, plan), plan
+        assert rows(new.select("NAME")) == rows(
+            extract_elements(given).where("TYPE in ('TABLE', 'INVERTER')").select("NAME")
+        )
+        # Without broadcasts the whole extraction still gives the same rows.
+        assert rows(extract_elements(stored)) == rows(extract_elements(given))
+    finally:
+        spark.conf.unset(threshold)

@@ -18,13 +18,26 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+# For a large cluster: shuffles start with many partitions, so that each fits in memory at 100 TB, and AQE merges them
+# up to the advisory size.  Sheet files are small, so a scan task takes more of them.
+CLUSTER_SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.openCostInBytes": "1m",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "1000",
+}
+
 
-def build_session(name: str = "treeledger", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings above; keyword settings use ``__`` in place of dots."""
+def build_session(
+    name: str = "treeledger", master: str | None = None, cluster: bool = False, **settings: str
+) -> SparkSession:
+    """A session with the settings above; keyword settings use ``__`` in place of dots and win over the others."""
     builder = SparkSession.builder.appName(name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (CLUSTER_SETTINGS if cluster else {})).items():
         builder = builder.config(key, value)
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

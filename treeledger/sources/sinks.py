@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from treeledger.functions.keys import with_keys
 from treeledger.operators.filters import to_schema
+from treeledger.schema import KEY
 
 
 def write_elements(elements: DataFrame, path: str, work: str, fmt: str = "parquet") -> bool:
@@ -45,6 +47,18 @@ def append_elements(new: DataFrame, path: str) -> DataFrame:
     return new.sparkSession.read.parquet(path)
 
 
+def save_bucketed(elements: DataFrame, table: str, buckets: int, mode: str = "overwrite") -> None:
+    """Save a master as a catalog table that is bucketed by element key and stores the key columns.
+
+    Every run compares its leaves with the master by key.  With this layout the master stays where it is and only the
+    new keys are shuffled, as long as there are at least as many buckets as initial shuffle partitions.
+    """
+    keyed = with_keys(elements)
+    # One task per bucket writes one file per bucket.
+    writer = keyed.repartition(buckets, *KEY).write.mode(mode).bucketBy(buckets, *KEY).sortBy(*KEY)
+    writer.saveAsTable(table)
+
+
 def snapshot_stamp(moment: Column) -> Column:
     return F.date_format(moment, "yyyyMMdd_HHmmss")
 
