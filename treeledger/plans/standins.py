@@ -139,7 +139,7 @@ class Views:
 
     @cached_property
     def plots_projects(self) -> DataFrame:
-        stale = self.spark.range(1).selectExpr(
+        stale = self.spark.range(0, 1, 1, 1).selectExpr(
             "0 as ord", f"{uid(repr('pp|stale'))} as ID", f"{uid(repr('project|stale'))} as PROJECT_ID",
             f"{uid(repr('plot|stale'))} as PLOT_ID", "'b-13A' as PLOT_NAME",
         )
