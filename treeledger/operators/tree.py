@@ -15,8 +15,10 @@ def parents_of(elements: DataFrame, order: list[str], children: DataFrame | None
     Parents are few; the semi-join picks them out before anything is grouped, so the leaves are not shuffled for it.
     """
     asked = (elements if children is None else children).select(F.col("PARENT_ID").alias("ID")).distinct()
-    rows = elements.select("ID", "NAME", "TYPE", "PARENT_ID", *order).join(asked, "ID", "left_semi")
-    return keep_first(rows, ["ID"], order).drop(*order)
+    kept = ["ID", "NAME", "TYPE", "PARENT_ID"]
+    extra = [c for c in order if c not in kept]
+    rows = elements.select(*kept, *extra).join(asked, "ID", "left_semi")
+    return keep_first(rows, ["ID"], order).select(*kept)
 
 
 def children_with_parent(elements: DataFrame, order: list[str]) -> DataFrame:

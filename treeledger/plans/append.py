@@ -44,7 +44,7 @@ def append_and_report(
     kept = sinks.snapshot(spark.read.parquet(master_path), f"{work}/snapshots", stamp)
     before = spark.read.parquet(kept)
     after = sinks.append_elements(fresh, master_path)
-    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, ["ID"], labels))
+    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, ["TYPE", "NAME"], labels))
 
 
 def repair_and_publish(spark: SparkSession, base: str, plot_name: str, work: str, stamp: str) -> int | None:
