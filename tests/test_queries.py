@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from compare import connect, difference
 
-ORACLES = entry.oracle_sql()
+from treeledger.plans.catalog import QUERIES
+from treeledger.plans.oracle import ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +15,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert difference(entry.queries()[name](spark, sf_dir), con, ORACLES[name]) is None
 
@@ -29,7 +30,7 @@ def test_entry(spark):
 def test_no_plan_crosses_or_runs_python_on_rows(spark, sf_dir):
     """Only reading spreadsheet files needs Python."""
     reads_sheets = {"scan_sheet_files", "scan_sheet_rows", "scan_sheet_cells", "workbook_errors"}
-    for name in sorted(set(entry.queries()) - {"incremental_extract"}):
+    for name in sorted(set(QUERIES) - {"incremental_extract"}):
         plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
         assert name in reads_sheets or not any(w in plan for w in ("Python", "MapInArrow")), name

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,13 +46,9 @@ def build_session(
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of this machine: on a cluster the executors would not
-    see each other's files.
+    The setting is needed: executors do not see each other's local files.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="treeledger-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     return f"{root.rstrip('/')}/treeledger/{label}-{uuid.uuid4().hex}"
