@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,8 +12,7 @@ from pyspark.sql import functions as F
 from treeledger.session import scratch_path
 
 # Words are runs of characters other than ASCII white space.
-SPACES = " \t\n\x0b\x0c\r"
-CRC_OF_ID = "crc32(cast(cast({id} as string) as binary))"
+SPACES = "[\\x20\\x09-\\x0D]+"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -32,8 +32,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """The words of a text in order; none for null."""
-    spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
-    return F.array_remove(F.split(spaced, " "), "")
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once per row, also where a lambda inside the body uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def lower_ascii(text: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe
+from treeledger.llm import bpe, mixing
 from treeledger.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of the sources takes of every document."""
+    return mixing.mixed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies"
+    )
