@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, mixing
+from treeledger.llm import bpe, mixing, warc
 from treeledger.llm.common import table
+from treeledger.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,3 +46,32 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
     )
+
+
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as an archive, read it back, and tell each record's payload, digest and kind."""
+    path = scratch_path(spark, "warc")
+    warc.write_archive(warc.records(table(spark, sf_dir, "pages")), path)
+    read = warc.read_archive(spark, path)
+    header = F.col("header")
+    number = lambda name: F.regexp_extract(warc.field(header, name), "([0-9-]+)>", 1).try_cast("long")
+    return read.select(
+        number("WARC-Record-ID").alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        warc.sha1_base32(F.col("payload")).alias("payload_digest"),
+        warc.field(header, "WARC-Type").alias("record_type"),
+        number("WARC-Refers-To").alias("refers_to"),
+    )
+
+
+ORACLES["op8_warc"] = """
+with p as (select page_id, encode(coalesce(html, '')) as body, sha1(encode(coalesce(html, ''))) as h from pages),
+r as (select *, max(page_id) over (partition by h) as last from p)
+select page_id, octet_length(body)::bigint as payload_bytes,
+  array_to_string([array_to_string([
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * i, 5))::bigint >> (15 - 5 * j)) & 31)::int, 1)
+    for j in range(4)], '') for i in range(8)], '') as payload_digest,
+  case when page_id = last then 'response' else 'revisit' end as record_type,
+  case when page_id = last then null else last end as refers_to
+from r"""
