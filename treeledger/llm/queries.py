@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, mixing, warc
+from treeledger.llm import bpe, mixing, quality, warc
 from treeledger.llm.common import table
 from treeledger.session import scratch_path
 
@@ -75,3 +75,9 @@ select page_id, octet_length(body)::bigint as payload_bytes,
   case when page_id = last then 'response' else 'revisit' end as record_type,
   case when page_id = last then null else last end as refers_to
 from r"""
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain limits and robust outliers over all documents."""
+    return quality.judged(table(spark, sf_dir, "documents"))
