@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, mixing, quality, warc
-from treeledger.llm.common import table
+from treeledger.llm import bpe, mixing, quality, toxicity, warc
+from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,16 @@ from r"""
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain limits and robust outliers over all documents."""
     return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        (remainder_of_id("doc_id", toxicity.HELD_OUT) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
