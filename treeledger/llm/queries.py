@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, mixing, pii, quality, toxicity, warc
+from treeledger.llm import bpe, mixing, near_dedup, pii, quality, toxicity, warc
 from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
@@ -100,3 +100,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with pseudonyms in place of personal data, and how many values of each kind were replaced."""
     return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles are similar to 80 percent."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"), width=4, percent=80)
