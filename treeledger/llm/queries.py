@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, mixing, near_dedup, pii, quality, toxicity, warc
+from treeledger.llm import bpe, language_model, mixing, near_dedup, pii, quality, toxicity, warc
 from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
@@ -106,3 +106,13 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles are similar to 80 percent."""
     return near_dedup.classes(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and smoothed scores of all texts under a model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder_of_id("doc_id", 7) == 2
+    model = language_model.train(docs.where(~held_out).select("text"))
+    scores = language_model.scored(docs.withColumn("held_out", held_out), model)
+    return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
