@@ -39,6 +39,13 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in kept else chr(next(rest)) for b in range(256)]
 
 
+def byte_vocabulary(name: str = "byte_bpe_50k.json") -> Vocabulary:
+    """A vocabulary of the public tokenizers."""
+    import public_tokenizers
+
+    return Vocabulary.load(public_tokenizers.path(name), public_tokenizers.PATTERN)
+
+
 @dataclass
 class Vocabulary:
     """Tables of a byte-level BPE vocabulary; their size is that of the vocabulary file."""

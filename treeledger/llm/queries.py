@@ -21,17 +21,11 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
-def byte_vocabulary() -> bpe.Vocabulary:
-    import public_tokenizers
-
-    return bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
-
-
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text that they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode_column(docs, byte_vocabulary(), decoded="decoded")
+    coded = bpe.encode_column(docs, bpe.byte_vocabulary(), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
