@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, language_model, mixing, near_dedup, pii, quality, toxicity, warc
+from treeledger.llm import bpe, language_model, mixing, near_dedup, pii, quality, token_counts, toxicity, warc
 from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
@@ -110,3 +110,11 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_model.train(docs.where(~held_out).select("text"))
     scores = language_model.scored(docs.withColumn("held_out", held_out), model)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document under the three rules for tokens that cross a boundary."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, bpe.byte_vocabulary())
+    return counted.select("doc_id", F.inline("sections"))
