@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import bpe, language_model, mixing, near_dedup, pii, quality, token_counts, toxicity, warc
+from treeledger.llm import ann, bpe, language_model, mixing, near_dedup, pii, quality, token_counts, toxicity, warc
 from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
@@ -118,3 +118,9 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.with_token_counts(docs, bpe.byte_vocabulary())
     return counted.select("doc_id", F.inline("sections"))
+
+
+@query
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
