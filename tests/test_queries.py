@@ -29,8 +29,8 @@ def test_entry(spark):
 
 def test_no_plan_crosses_or_runs_python_on_rows(spark, sf_dir):
     """Only reading spreadsheet files needs Python."""
-    reads_sheets = {"scan_sheet_files", "scan_sheet_rows", "scan_sheet_cells", "workbook_errors"}
-    for name in sorted(set(QUERIES) - {"incremental_extract"}):
+    reads_sheets = {"incremental_errors", "scan_sheet_files", "scan_sheet_rows", "scan_sheet_cells", "workbook_errors"}
+    for name in sorted(set(QUERIES) - {"incremental_extract", "incremental_errors"}):
         plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
         assert name in reads_sheets or not any(w in plan for w in ("Python", "MapInArrow")), name

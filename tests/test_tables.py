@@ -24,7 +24,7 @@ def test_columns_go_by_header_and_missing_ones_are_empty(spark, tmp_path):
 
 def test_quotes_and_line_breaks(spark, tmp_path):
     path = put(tmp_path, 'ID,PROJECT_ID,NAME,TYPE,PARENT_ID\n1,p,"a ""q"", b","T\nU",\n2,p,x,T,1')
-    assert rows(tables.read_elements(spark, path)) == [("1", "p", 'a "q", b', "T\nU", ""), ("2", "p", "x", "T", "1")]
+    assert rows(tables.read_elements(spark, path, multi_line=True)) == [("1", "p", 'a "q", b', "T\nU", ""), ("2", "p", "x", "T", "1")]
 
 
 def test_master_is_stripped_and_last_row_wins(spark, tmp_path):
@@ -67,7 +67,7 @@ def test_elements_go_out_and_come_back(spark):
     path = scratch_path(spark, "t")
     odd = elements(spark, ("1", "p", ' a "b", c ', "TABLE", ""), ("2", "p", "x\ny", "TABLE", "1"))
     assert sinks.write_elements(odd.withColumn("more", F.lit(1)), path, scratch_path(spark, "w"), "csv")
-    assert rows(tables.read_elements(spark, path)) == rows(odd)
+    assert rows(tables.read_elements(spark, path, multi_line=True)) == rows(odd)
     assert not sinks.write_elements(odd.limit(0), scratch_path(spark, "none"), scratch_path(spark, "w"))
 
 
@@ -87,13 +87,43 @@ def test_rewrite_publishes_versions(spark):
     one, two = elements(spark, ("1", "p", "n", "T", "")), elements(spark, ("2", "p", "n", "T", ""))
     assert sinks.current_version(spark, base) is None
     assert sinks.rewrite(one, base) == 1
-    # Data that was written but never published is not seen, and the next version replaces it.
-    two.write.parquet(f"{base}/data/version=2")
+    # Data that was written but never published is not seen.
+    two.write.parquet(f"{base}/data/version=2-lost")
     assert rows(sinks.read_current(spark, base)) == rows(one)
     assert sinks.rewrite(sinks.read_current(spark, base).unionByName(two), base) == 2
     assert len(rows(sinks.read_current(spark, base))) == 2
 
 
+def test_of_two_writers_of_a_version_one_fails(spark, monkeypatch):
+    base = scratch_path(spark, "v")
+    one, two = elements(spark, ("1", "p", "n", "T", "")), elements(spark, ("2", "p", "n", "T", ""))
+    assert sinks.rewrite(one, base) == 1
+    assert sinks.rewrite(one, base) == 2
+    # The second writer began when version 1 was current.
+    monkeypatch.setattr(sinks, "current_version", lambda *_: 1)
+    with pytest.raises(FileExistsError):
+        sinks.rewrite(two, base)
+    assert rows(sinks.read_current(spark, base)) == rows(one)
+
+
+def test_order_of_several_files_has_to_be_stated(spark, tmp_path):
+    folder = tmp_path / "m"
+    folder.mkdir()
+    header = "ID,PROJECT_ID,NAME,TYPE,PARENT_ID\n"
+    (folder / "part-99999-b.csv").write_text(header + "old,p,n,T,\n")
+    (folder / "part-100000-a.csv").write_text(header + "new,p,n,T,\n")
+    with pytest.raises(ValueError):
+        tables.read_design_elements(spark, str(folder))
+    read = lambda files: [r.ID for r in tables.read_design_elements(spark, str(folder), files=files).collect()]
+    assert read("parts") == ["new"]
+    assert read(["part-100000-a.csv", "part-99999-b.csv"]) == ["old"]
+    with pytest.raises(ValueError):
+        read(["part-100000-a.csv"])
+    (folder / "part-99999-c.csv").write_text(header + "other,p,n,T,\n")  # a second write
+    with pytest.raises(ValueError):
+        read("parts")
+
+
 def test_append_and_report(spark):
     path, work = scratch_path(spark, "m"), scratch_path(spark, "w")
     elements(spark, ("p0", "x", "A-1a", "PLOT", "")).write.parquet(path)

@@ -14,9 +14,8 @@ def with_keys(df: DataFrame) -> DataFrame:
 
     A table that stores these columns (for example one that is bucketed by them) is taken as it is.
     """
-    if "k_name" in df.columns:
-        return df
-    return df.selectExpr("*", "lower(PROJECT_ID) as k_project", "upper(NAME) as k_name", "upper(TYPE) as k_type")
+    keys = {"k_project": "lower(PROJECT_ID)", "k_name": "upper(NAME)", "k_type": "upper(TYPE)"}
+    return df.selectExpr("*", *(f"{value} as {key}" for key, value in keys.items() if key not in df.columns))
 
 
 def uuid_from(*parts: Column | str) -> Column:

@@ -76,18 +76,18 @@ def scan_sheet_cells(v: Views) -> DataFrame:
 @query
 def load_plots_projects(v: Views) -> DataFrame:
     path = _as_csv(v, v.plots_projects, PLOT_PROJECT_FIELDS)
-    return tables.read_plots_projects(v.spark, path).select(*PLOT_PROJECT_FIELDS)
+    return tables.read_plots_projects(v.spark, path, files="parts").select(*PLOT_PROJECT_FIELDS)
 
 
 @query
 def load_plots(v: Views) -> DataFrame:
     # The optional last column is left out of the file.
-    return tables.read_plots(v.spark, _as_csv(v, v.plots, PLOT_FIELDS[:-1])).select(*PLOT_FIELDS)
+    return tables.read_plots(v.spark, _as_csv(v, v.plots, PLOT_FIELDS[:-1]), files="parts").select(*PLOT_FIELDS)
 
 
 @query
 def load_design_elements(v: Views) -> DataFrame:
-    return tables.read_design_elements(v.spark, _as_csv(v, v.design_elements, ELEMENT_FIELDS))
+    return tables.read_design_elements(v.spark, _as_csv(v, v.design_elements, ELEMENT_FIELDS), files="parts")
 
 
 @query
@@ -609,14 +609,40 @@ def verify_repair(v: Views) -> DataFrame:
 # --- streaming -------------------------------------------------------------------------------------------------------
 
 
-@query
-def incremental_extract(v: Views) -> DataFrame:
-    """Workbooks arrive in two waves; each wave is one run of the stream against the master left by the one before."""
-    root, store, checkpoint = (scratch(v, n) for n in ("arrivals", "store", "progress"))
+def _arrivals(v: Views, odd: bool = False) -> str:
+    """Workbooks arrive in two waves; each is one run of the stream; the store."""
+    root, shadow, store, checkpoint = (scratch(v, n) for n in ("arrivals", "shadow", "store", "progress"))
     incremental.create_store(v.design_elements, store)
     plots = sinks.handoff(v.plot_projects, scratch(v, "plots"))
     early = F.substring("folder_name", 1, 1) < "C"
     for wave in (v.workbook_rows.where(early), v.workbook_rows.where(~early)):
         _packed(v, wave, root)
-        incremental.start(incremental.file_stream(v.spark, root), store, plots, checkpoint).awaitTermination()
-    return incremental.read_store(v.spark, store).where("batch_id >= 0").select(*ELEMENT_FIELDS)
+        if odd:
+            workbooks.write_files(v.odd_files, root)
+        stream = incremental.file_stream(v.spark, root, shadow)
+        incremental.start(stream, store, plots, checkpoint).awaitTermination()
+    return store
+
+
+@query
+def incremental_extract(v: Views) -> DataFrame:
+    """New elements of a stream that runs twice, the second time against the master left by the first."""
+    return incremental.read_store(v.spark, _arrivals(v)).where("batch_id >= 0").select(*ELEMENT_FIELDS)
+
+
+@query
+def incremental_errors(v: Views) -> DataFrame:
+    """What these runs could not use, with unreadable files, hidden names and hidden folders among the workbooks."""
+    return incremental.read_errors(v.spark, _arrivals(v, odd=True)).select("kind", "folder_name", "file_name")
+
+
+@query
+def append_then_dedupe(v: Views) -> DataFrame:
+    """Two appends with the keys that the master has; the rows of the last one survive."""
+    path = scratch(v, "ordered-master")
+    incremental.create_store(v.design_elements, path)
+    for name in ("first", "second"):
+        again = v.design_elements.withColumn("ID", F.concat("ID", F.lit(f"-{name}")))
+        incremental.append(v.spark, again, path, "ord")
+    master = incremental.read_store(v.spark, path)
+    return lookups.surviving(master, incremental.STORE_ORDER).select(*ELEMENT_FIELDS, "batch_id")

@@ -24,7 +24,7 @@ from treeledger.functions.keys import element_id, with_keys
 from treeledger.operators.identity import default_id, known_keys, occurrence_id
 from treeledger.operators.order import keep_first, keep_last
 from treeledger.schema import ELEMENT_FIELDS, KEY, VISIT_ORDER
-from treeledger.sources import sheets
+from treeledger.sources import sheets, sinks
 
 MASTER_ORDER = ["ord"]
 
@@ -58,7 +58,9 @@ def extraction_errors(files: DataFrame, plots: DataFrame, failed: DataFrame | No
     """
     named = name_files(files).withColumn("k_plot", F.upper("plot_name"))
     known = plots.where("PROJECT_ID <> ''").select("k_plot", "PROJECT_ID")
-    checked = named.join(known, "k_plot", "left")
+    # Files without a plot have no key; joined, they would all meet in one task.
+    unnamed = named.where("k_plot is null").withColumn("PROJECT_ID", F.lit(None).cast("string"))
+    checked = named.where("k_plot is not null").join(known, "k_plot", "left").unionByName(unnamed)
     no_folder = F.col("plot_name").isNull()
     no_project = F.col("PROJECT_ID").isNull()
     no_block = F.col("block_name").isNull()
@@ -189,15 +191,18 @@ class Inputs:
 
 
 def read_inputs(
-    scanned: DataFrame, plots: DataFrame, master: DataFrame, order: tuple[str, ...] = ("ord",)
+    scanned: DataFrame, plots: DataFrame, master: DataFrame, order: tuple[str, ...] = ("ord",), work: str | None = None
 ) -> tuple[Inputs, DataFrame]:
     """Inputs from scanned sheet files, and the files that could not be read.
 
     Files whose folder or name gives no plot or block are never opened.  There is no join before the files are parsed:
-    it could move their content.
+    it could move their content.  With a folder ``work`` the parsed rows are written there, so that the rows and the
+    errors come from one reading.
     """
     named = N.plot_from_folder("folder_name").isNotNull() & N.block_from_file("file_name").isNotNull()
     parsed = sheets.sheet_rows(scanned.where(named))
+    if work:
+        parsed = sinks.handoff(parsed, work)
     files = scanned.select("folder_name", "file_name")
     return Inputs(files, sheets.readable(parsed), plots, master, order), sheets.row_errors(parsed)
 

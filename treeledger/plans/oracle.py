@@ -334,6 +334,12 @@ BODIES: dict[str, str] = {
         min(TYPE) filter (is_it) as TYPE, min(PARENT_ID) filter (is_it) as PARENT_ID
       from (select *, ID = (select min(ID) from restored where NAME='B-13a' and TYPE='PLOT') as is_it from restored)""",
     "incremental_extract": f"select {ELEMENT} from new_elements",
+    "incremental_errors": f"""select kind, folder_name, file_name from extraction_errors
+      union select 'sheet_error', folder_name, file_name from workbook_bad join usable using (folder_name, file_name)
+      union select 'sheet_error', {S.ODD_FOLDER}, {S.ODD_FILE} from nation where n_nationkey%3<2 and n_regionkey<4
+      union select 'plot_mismatch', {S.ODD_FOLDER}, {S.ODD_FILE} from nation where (n_nationkey%3=1 or n_nationkey%3=0 and n_nationkey%7=0) and n_regionkey<4
+      union select 'folder_name', {S.ODD_FOLDER}, null from nation where n_nationkey%3=2""",
+    "append_then_dedupe": "select ID||'-second' as ID, PROJECT_ID, NAME, TYPE, PARENT_ID, cast(1 as bigint) as batch_id from survivors",
 }
 
 
@@ -358,5 +364,5 @@ def _for_workbooks() -> dict[str, str]:
     return {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
 
 
-OVER_WORKBOOKS = {"incremental_extract", "workbook_errors"}
+OVER_WORKBOOKS = {"incremental_extract", "incremental_errors", "workbook_errors"}
 ORACLES = {name: complete(body, _for_workbooks() if name in OVER_WORKBOOKS else VIEWS) for name, body in BODIES.items()}

@@ -78,6 +78,9 @@ CHUNK = 4096
 WORKBOOK_FILE = f"{NATION_STEM}'||lpad(cast(chunk as string),9,'0')||'-30032025_DWGData.xlsx'"
 BAD_ROW = "o_orderkey%2003=1000"
 
+ODD_FOLDER = f"case when n_nationkey%3=2 then '_odd'||cast(n_nationkey as string) else {NATION_FOLDER} end"
+ODD_FILE = f"case when n_nationkey%3=0 then {NATION_STEM}9-odd.xlsx' else '_603C-Z99z-BL07-R'||cast(n_nationkey as string)||'.xlsx' end"
+
 HEADER = ("MMS Table Names", "Inverter Names")
 REGION_NAME = "substr('ABCDS', r_regionkey+1, 1)||'-'||cast(r_regionkey+12 as string)||'a'"
 TABLE_NAME = "case when c_custkey%2=0 then 'r' else 'R' end||cast(c_custkey%60 as string)||'-S'||cast(c_custkey%9 as string)"
@@ -238,6 +241,13 @@ class Views:
             "folder_name", f"{WORKBOOK_FILE} as file_name", "o_orderkey", "table_raw", "inverter_raw", f"{BAD_ROW} as is_bad"
         )
 
+    @cached_property
+    def odd_files(self) -> DataFrame:
+        """Files that no run can use as workbooks: with ordinary names, with hidden names, in hidden folders."""
+        return self.table("nation").selectExpr(
+            f"{ODD_FOLDER} as folder_name", f"{ODD_FILE} as file_name", "cast('no workbook' as binary) as content"
+        )
+
     @cached_property
     def plot_requests(self) -> DataFrame:
         return self.table("customer").selectExpr("c_custkey as request", f"lower({_code('c_custkey', C_FAMILY, '-')}) as requested_plot")

@@ -94,3 +94,21 @@ def write_workbooks(rows: DataFrame, root: str, header: tuple[str, str]) -> int:
         F.array_sort(F.collect_list(F.struct("o_orderkey", "table_raw", "inverter_raw", "is_bad"))).alias("cells")
     )
     return books.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
+def write_files(files: DataFrame, root: str) -> int:
+    """Write files (folder_name, file_name, content) below ``root`` as they are; returns how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for record in batch.to_pylist():
+                folder = f"{base}/{record['folder_name']}"
+                system.create_dir(folder, recursive=True)
+                with system.open_output_stream(f"{folder}/{record['file_name']}") as out:
+                    out.write(record["content"])
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return files.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0

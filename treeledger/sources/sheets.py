@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeledger.functions.names import path_parts
+from treeledger.session import scratch_path
 
 # Tasks get the functions of this module by value, so the package need not be installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -23,16 +24,71 @@ CELLS = (
 )
 ROWS = "folder_name string, file_name string, row_idx bigint, table_raw string, inverter_raw string, error string"
 BATCH = 8192
+LAST_ROW = 1 << 20  # of the file format
 
 
 def scan_files(spark: SparkSession, root: str, pattern: str = "*.xlsx", folders: str = "*") -> DataFrame:
     """Files right inside the direct sub-folders of ``root``: path, length, content, folder_name, file_name.
 
-    A missing or empty root raises.  The content is only read if a later step asks for it.  The driver holds the list
-    of files, so a tree of very many files is read in slices of ``folders``, or by incremental runs.
+    A missing or empty root raises.  The content is only read if a later step asks for it, and never that of a file
+    that is longer than Spark can hold as one value: its content is null, which readers report as an error.  The driver
+    holds the list of files, so a tree of very many files is read in slices of ``folders``, or by incremental runs.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folders_of(root, folders))
-    return with_names(files, root)
+    files = load_files(spark.read, root, pattern, folders)
+    hidden = hidden_files(spark, root, pattern, folders)
+    if not hidden:
+        return files
+    shadow = scratch_path(spark, "hidden")
+    mirror(spark, hidden, shadow)
+    return files.unionByName(load_files(spark.read, shadow, pattern="*", mirrored=True))
+
+
+def load_files(reader, root: str, pattern: str, folders: str = "*", mirrored: bool = False) -> DataFrame:
+    """The files that ``reader``, for a batch or a stream, sees below ``root``."""
+    found = reader.format("binaryFile").option("pathGlobFilter", pattern)
+    if hasattr(reader, "table") and "Stream" in type(reader).__name__:
+        found = found.schema("path string, modificationTime timestamp, length bigint, content binary")
+    files = with_names(found.load(folders_of(root, folders)), root)
+    limit = int(files.sparkSession.conf.get("spark.sql.sources.binaryFile.maxLength"))
+    fits = F.col("length") <= limit
+    # The filter reaches the scan, so the content of a longer file is not asked for.
+    files = files.where(fits).unionByName(files.where(~fits).withColumn("content", F.lit(None).cast("binary")))
+    if mirrored:
+        files = files.withColumns({c: F.expr(f"substr({c}, 2)") for c in ("folder_name", "file_name")})
+    return files
+
+
+def hidden_files(spark: SparkSession, root: str, pattern: str = "*.xlsx", folders: str = "*") -> list:
+    """Files whose name or folder begins with ``_`` or ``.``; Spark's own listing leaves them out."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    base = root.rstrip("/")
+    system = fs_path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def hidden(glob: str) -> list[str]:
+        return [f"[_.]{glob}"] if glob[:1] == "*" else [glob] if glob[:1] in "_." else []
+
+    globs = [f"{base}/{folders}/{p}" for p in hidden(pattern)] + [f"{base}/{f}/{pattern}" for f in hidden(folders)]
+    found = {}
+    for glob in globs:
+        for status in system.globStatus(fs_path(glob)) or []:
+            if status.isFile():
+                found[status.getPath().toString()] = status
+    return [found[k] for k in sorted(found)]
+
+
+def mirror(spark: SparkSession, hidden: list, shadow: str) -> None:
+    """Copy hidden files to ``shadow`` under names that Spark lists: folder and file get a letter in front.
+
+    Such files are few, and a file that is there already with its length is not copied again.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for status in hidden:
+        source = status.getPath()
+        target = jvm.org.apache.hadoop.fs.Path(f"{shadow}/x{source.getParent().getName()}/x{source.getName()}")
+        system = target.getFileSystem(conf)
+        if not system.exists(target) or system.getFileStatus(target).getLen() != status.getLen():
+            from_system = source.getFileSystem(conf)
+            jvm.org.apache.hadoop.fs.FileUtil.copy(from_system, source, system, target, False, True, conf)
 
 
 def folders_of(root: str, folders: str = "*") -> str:
@@ -118,15 +174,19 @@ def _sheet_rows(book, part: str, shared: list[str]) -> Iterator[tuple[int, int,
     width = None
     expected = 1
     column = 0
+    data = None
     with book.open(part) as stream:
         for event, node in ET.iterparse(stream, events=("start", "end")):
             tag = _local(node.tag)
             if event == "start":
+                data = node if tag == "sheetData" else data
                 continue
             if tag == "dimension":
                 width = _column_number(node.get("ref", "A1").rsplit(":", 1)[-1]) or None
             elif tag == "row":
                 number = int(node.get("r", expected))
+                if not 0 < number <= LAST_ROW:
+                    raise ValueError(f"row number {number} is not one of the format")
                 cells, column = {}, 0
                 for c in node:
                     column = _column_number(c.get("r", "")) or column + 1
@@ -135,14 +195,16 @@ def _sheet_rows(book, part: str, shared: list[str]) -> Iterator[tuple[int, int,
                     yield gap, width or 0, {}
                 expected = number + 1
                 yield number, width or (max(cells) if cells else 0), cells
-                node.clear()
+                node.clear() if data is None else data.clear()
 
 
-def _open(content: bytes):
+def _open(content: bytes | None):
     import io
     import zipfile
     from xml.etree import ElementTree as ET
 
+    if content is None:
+        raise ValueError("the file is too long to be read")
     book = zipfile.ZipFile(io.BytesIO(content))
     shared: list[str] = []
     if "xl/sharedStrings.xml" in book.namelist():

@@ -6,6 +6,8 @@ partitions are merged and skewed ones are split, so neither many tiny files nor
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,30 +75,44 @@ def snapshot(df: DataFrame, base: str, stamp: str) -> str:
 def rewrite(df: DataFrame, base: str) -> int:
     """Write a full new version of a table beside the old ones, then publish it.
 
-    The version number is appended to a small log after the data is complete, so readers see the old version or the
-    new one, and a failed write leaves the old one in place.
+    The data goes to a folder of its own name; number and name are published together, by a file of the number that can
+    be made only once.  So readers see the old version or the new one, a failed write leaves the old one in place, and of
+    two writers that began with the same version one fails.
     """
     spark = df.sparkSession
     version = (current_version(spark, base) or 0) + 1
-    df.hint("rebalance").write.mode("overwrite").parquet(f"{base}/data/version={version}")
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).write.mode("append").parquet(f"{base}/log")
+    name = f"version={version}-{uuid.uuid4().hex}"
+    df.hint("rebalance").write.mode("errorifexists").parquet(f"{base}/data/{name}")
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    claim = fs_path(f"{base}/claims/{version}")
+    system = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.createNewFile(claim):
+        raise FileExistsError(f"version {version} of {base} was written by another writer")
+    entry = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(name).alias("name"))
+    entry.write.mode("append").parquet(f"{base}/log")
     return version
 
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """The highest published version, or None for a table that was never written."""
+def highest(spark: SparkSession, path: str, column: str) -> int | None:
+    """The highest number in a small table, or None where there is no table yet."""
     from pyspark.errors import AnalysisException
 
     try:
-        return spark.read.schema("version bigint").parquet(f"{base}/log").agg(F.max("version")).first()[0]
+        return spark.read.schema(f"{column} bigint").parquet(path).agg(F.max(column)).first()[0]
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """The highest published version, or None for a table that was never written."""
+    return highest(spark, f"{base}/log", "version")
+
+
 def read_current(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/data/version={current_version(spark, base)}")
+    log = spark.read.schema("version bigint, name string").parquet(f"{base}/log")
+    return spark.read.parquet(f"{base}/data/{log.agg(F.max_by('name', 'version')).first()[0]}")
 
 
 def write_summary(summary: DataFrame, path: str, fmt: str = "json") -> None:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeledger.functions.names import strip
@@ -12,25 +15,52 @@ from treeledger.functions.keys import with_keys
 from treeledger.schema import ELEMENT_FIELDS, KEY, PLOT_FIELDS, PLOT_PROJECT_FIELDS, PROJECT
 
 
-def read_raw(spark: SparkSession, path: str, fields: list[str], multi_line: bool = True, positioned: bool = False) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    fields: list[str],
+    multi_line: bool = False,
+    positioned: bool = False,
+    files: str | list[str] | None = None,
+) -> DataFrame:
     """The named columns as they stand in the file; empty fields and missing columns give empty text.
 
-    ``multi_line`` is needed for line breaks inside quotes and makes a file the unit of reading.  Turn it off for large
-    files without such breaks, so that Spark can split them.  ``positioned`` adds ``pos``, which sorts the rows as they
-    stand in the files: by file, by place of the split in the file, by row of the split.
+    ``multi_line`` is needed for line breaks inside quotes and makes a file the unit of reading; without it Spark splits
+    files.  ``positioned`` adds ``pos``, which sorts the rows as they stand in the files: by file, by place of the split
+    in the file, by row of the split.  Several files have no order of their own: ``files`` names them in order, or says
+    ``"parts"`` for the numbers of one write of Spark.
     """
     reader = spark.read.options(header=True, enforceSchema=False, escape='"', multiLine=multi_line)
     df = reader.csv(path)
     if not positioned:
         return to_schema(df, fields)
+    # monotonically_increasing_id grows with the split, and the splits of a file with their place in it.
     place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        _file_number(df, files).alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
     return to_schema(df.select("*", place.alias("pos")), fields, keep=["pos"])
 
 
+def _file_number(df: DataFrame, files: str | list[str] | None) -> Column:
+    """Number of the file of a row in the order that ``files`` states."""
+    names = [unquote(f).rstrip("/").rsplit("/", 1)[-1] for f in df.inputFiles()]
+    if len(names) < 2:
+        return F.lit(0)
+    if files is None:
+        raise ValueError(f"{len(names)} files have no order; pass files=[...], or files='parts' for one write of Spark")
+    if files == "parts":
+        numbers = [re.match(r"part-(\d+)", n) for n in names]
+        if not all(numbers) or len({int(m[1]) for m in numbers}) < len(names):
+            raise ValueError("the files are not the parts of one write; pass files=[...]")
+        return F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("bigint")
+    listed = [f.rsplit("/", 1)[-1] for f in files]
+    if sorted(listed) != sorted(names) or len(set(names)) < len(names):
+        raise ValueError("files has to name every file once, by names that differ")
+    return F.array_position(F.lit(listed), F.col("_metadata.file_name"))
+
+
 def _stripped(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.withColumns({c: strip(c) for c in fields})
 
