@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeledger.llm.common import let
+from treeledger.llm.common import fresh, let
 
 KEY = "treeledger pseudonyms"  # production passes its own
 ROUNDS = 8  # of both halves
@@ -238,13 +238,15 @@ def pseudonymised(docs: DataFrame, text: str = "text", key: str = KEY, counts: b
     nothing = F.struct(value.alias("text"), F.lit(None).cast("array<struct<kind:string,new:string>>").alias("new"))
     # Texts without digits and @ have nothing to find.
     out = F.when(value.rlike("[0-9@]|(?i:token|secret|passw|key)"), let(found, rewritten)).otherwise(nothing)
+    own = fresh(docs, "_pii")
     names = [f"n_{k}" for k in KINDS] if counts else []
-    columns = [F.col(f"`{c}`") if c != text else F.col("_pii.text").alias(text) for c in docs.columns if c not in names]
+    kept = [c for c in docs.columns if c not in names]
+    columns = [F.col(own)["text"].alias(c) if c == text else F.col(f"`{c}`") for c in kept]
     if counts:
-        columns += [_count(k).alias(f"n_{k}") for k in KINDS]
-    return docs.withColumn("_pii", out).select(*columns)
+        columns += [_count(F.col(own)["new"], k).alias(f"n_{k}") for k in KINDS]
+    return docs.withColumn(own, out).select(*columns)
 
 
-def _count(kind: str) -> Column:
-    valid = F.filter("_pii.new", lambda x: (x["kind"] == kind) & x["new"].isNotNull())
-    return F.when(F.col("_pii.new").isNull(), 0).otherwise(F.size(valid)).cast("long")
+def _count(new: Column, kind: str) -> Column:
+    valid = F.filter(new, lambda x: (x["kind"] == kind) & x["new"].isNotNull())
+    return F.when(new.isNull(), 0).otherwise(F.size(valid)).cast("long")

@@ -13,7 +13,7 @@ from treeledger.llm import mixing as mixing_operator
 from treeledger.llm import near_dedup as near_dedup_operator
 from treeledger.llm import pii as pii_operator
 from treeledger.llm import toxicity as toxicity_operator
-from treeledger.llm.common import stored, table
+from treeledger.llm.common import fresh, stored, table
 
 TOXIC_FROM = 0.5
 
@@ -25,8 +25,9 @@ def _columns(df: DataFrame, names: list[str]) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     model = toxicity_operator.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity_operator.scored(docs, model, score="_toxicity")
-    return _columns(scored.where(F.col("_toxicity") < TOXIC_FROM), docs.columns)
+    score = fresh(docs, "toxicity")
+    scored = toxicity_operator.scored(docs, model, score=score)
+    return _columns(scored.where(F.col(score) < TOXIC_FROM), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,21 +37,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     they are many, Spark joins them in its own way.
     """
     classes = near_dedup_operator.classes(docs, width=5, percent=80)
-    rejected = stored(
-        classes.where(~F.col("kept")).select(F.col("doc_id").alias("_rejected")).distinct(), "pipeline-rejected"
-    )
-    kept = docs.join(near_dedup_operator.sized(rejected), F.col("doc_id") == F.col("_rejected"), "left_anti")
-    # Rows that repeat an id are the same document; they are looked for by id first, so that others are not moved.
-    again = stored(
-        classes.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_again")).count().where("count > 1").drop("count"),
-        "pipeline-again",
-    )
+    name = fresh(docs, "named")
+
+    def among(rows: DataFrame, how: str, ids: DataFrame) -> DataFrame:
+        there = F.col("doc_id") == F.col(name)
+        return rows.join(near_dedup_operator.sized(ids), there, how)
+
+    rejected = classes.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    kept = among(docs, "left_anti", stored(rejected, "pipeline-rejected"))
+    # Rows that repeat an id are the same document; their ids are looked for first, so that other rows are not moved.
+    again = classes.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias(name)).count()
+    again = stored(again.where("count > 1").drop("count"), "pipeline-again")
     if not again.limit(1).count():
         return kept
-    again = near_dedup_operator.sized(again)
-    once = kept.join(again, F.col("doc_id") == F.col("_again"), "left_anti")
-    more = kept.join(again, F.col("doc_id") == F.col("_again"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    once, more = among(kept, "left_anti", again), among(kept, "left_semi", again)
+    return once.unionByName(more.dropDuplicates(["doc_id"]))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +66,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of their sources takes them."""
     taken = mixing_operator.mixed(docs, keep=True).where("copies > 0")
-    repeated = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    repeated = taken.select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*(F.col("_row").getField(c).alias(c) for c in docs.columns))
 
 

@@ -12,8 +12,8 @@ its own words.  Scoring covers every document and its whole text.
 
 Defined results: null and empty texts have no clauses and get the score of such a document; unlabelled, null and
 held-out ids teach nothing; of repeated ids in the labels the largest label counts; without labels of both kinds the
-grammar works with the listed insults and a fixed curve.  Other columns are kept; added columns replace columns of their
-names.
+grammar works with the listed insults and a fixed curve.  Other columns are kept; the score replaces a column of its
+name.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ from itertools import product
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,7 +163,7 @@ class Lexicon:
         return out
 
 
-FEATURES = ["tox_sum", "tox_most", "tox_clauses", "tox_density", "tox_length"]
+FEATURES = ["sum", "most", "clauses", "density", "length"]
 
 
 def _features(lexicon: Lexicon, machine: Transducer, text: str | None) -> list[float]:
@@ -181,10 +179,10 @@ def _features(lexicon: Lexicon, machine: Transducer, text: str | None) -> list[f
     ]
 
 
-def with_clause_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """Add the figures that the grammar gives for each text."""
-    added = [T.StructField(f, T.DoubleType()) for f in FEATURES]
-    kept = [f for f in docs.schema.fields if f.name not in FEATURES]
+def with_clause_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text", prefix: str = "tox_") -> DataFrame:
+    """Add the figures that the grammar gives for each text, under FEATURES with a prefix."""
+    new = [prefix + f for f in FEATURES]
+    kept = [f for f in docs.schema.fields if f.name not in new]
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,9 +193,9 @@ def with_clause_scores(docs: DataFrame, lexicon: Lexicon, text: str = "text") ->
                 batch = whole.slice(at, 256)
                 made = np.array([_features(lexicon, machine, t) for t in batch.column(text).to_pylist()])
                 arrays = [batch.column(n) for n in names] + [pa.array(made[:, i]) for i in range(len(FEATURES))]
-                yield pa.RecordBatch.from_arrays(arrays, names + FEATURES)
+                yield pa.RecordBatch.from_arrays(arrays, names + new)
 
-    return docs.mapInArrow(run, T.StructType(kept + added))
+    return docs.mapInArrow(run, T.StructType(kept + [T.StructField(n, T.DoubleType()) for n in new]))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, limit: int = MAX_TRAIN) -> DataFrame:
@@ -277,21 +275,28 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", limit: int = MAX_TRAIN) -> Model:
     """Learn the insults and the curve from the labelled documents that are not held out."""
+    # Only the driver needs these; workers import this module too.
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
     sample = labelled_sample(docs, labels, doc_id, text, limit)
     lexicon = Lexicon(learn_insults(sample))
     figures = stored(with_clause_scores(sample, lexicon, "_text").drop("_text"), "toxicity-figures")
     kinds = {r["_toxic"] for r in figures.select("_toxic").distinct().collect()}
     if kinds != {0, 1}:
         return Model(lexicon, [2.0, 0.0, 0.0, 0.0, 0.0], -3.0)
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(figures)
+    rows = VectorAssembler(inputCols=["tox_" + f for f in FEATURES], outputCol="features").transform(figures)
     fitted = LogisticRegression(labelCol="_toxic", regParam=1e-4, maxIter=50).fit(rows)
     return Model(lexicon, [float(w) for w in fitted.coefficients], float(fitted.intercept))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
     """Add the probability that a text is toxic."""
+    prefix = "tox_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix += "_"
     line = F.lit(model.bias)
     for name, weight in zip(FEATURES, model.weights):
-        line = line + F.col(name) * weight
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (*FEATURES, score)]
-    return with_clause_scores(docs, model.lexicon, text).select(*kept, (1 / (1 + F.exp(-line))).alias(score))
+        line = line + F.col(prefix + name) * weight
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != score]
+    return with_clause_scores(docs, model.lexicon, text, prefix).select(*kept, (1 / (1 + F.exp(-line))).alias(score))
