@@ -177,10 +177,10 @@ def words_of_blocks(blocks: DataFrame, range_bits: int) -> DataFrame:
     return blocks.groupBy("range").applyInPandas(run, COUNTS)
 
 
-def _places(hashes: np.ndarray, level: np.ndarray, size: np.ndarray, probe: int) -> np.ndarray:
-    """Bit of an entry within its range for one probe."""
-    key = mix(hashes ^ level.astype(np.uint64) * LEVEL)
-    return (key + np.uint64(probe) * (mix(key ^ SECOND) | np.uint64(1))) % size.astype(np.uint64)
+def _entry(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of an entry begin and how far apart they are, before they are cut to the size of the range."""
+    key = mix(hashes ^ np.uint64(level * int(LEVEL) % 2**64))
+    return key, mix(key ^ SECOND) | np.uint64(1)
 
 
 def shard(hashes: np.ndarray, counts: np.ndarray, least: int, most_bits: int) -> tuple[int, bytes]:
@@ -191,9 +191,10 @@ def shard(hashes: np.ndarray, counts: np.ndarray, least: int, most_bits: int) ->
     size = int(min(max(64, BITS * int(top.sum())), most_bits))
     bits = np.zeros((size + 7) // 8 * 8, dtype=bool)
     for level in range(int(top.max(initial=0))):
-        there = hashes[top > level]
-        for probe in range(PROBES):
-            bits[_places(there, np.full(len(there), level), np.full(len(there), size), probe)] = True
+        key, apart = _entry(hashes[top > level], level)
+        for _ in range(PROBES):
+            bits[key % np.uint64(size)] = True
+            key += apart
     return size, np.packbits(bits).tobytes()
 
 
@@ -253,17 +254,48 @@ class Filter:
         left = np.arange(len(hashes))
         level = 0
         while left.size:
+            key, apart = _entry(hashes[left], level)
             place = (hashes[left] >> np.uint64(64 - self.range_bits)).astype(np.int64)
+            size, offset = self.sizes[place].astype(np.uint64), self.offsets[place]
             for probe in range(PROBES):
-                at = _places(hashes[left], np.full(len(left), level), self.sizes[place], probe).astype(np.int64)
-                byte = self.bits[self.offsets[place] + (at >> 3)]
+                at = (key % size).astype(np.int64)
+                byte = self.bits[offset + (at >> 3)]
                 hit = (byte >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-                left, place = left[hit], place[hit]
+                left = left[hit]
+                if probe < PROBES - 1:
+                    key, apart, size, offset = key[hit] + apart[hit], apart[hit], size[hit], offset[hit]
             level += 1
             out[left] = level
         return out
 
 
+class Memory:
+    """Levels of frequent words that a worker has probed for, so that it does so once and not in every chunk."""
+
+    ROOM = 1 << 18
+
+    def __init__(self, of: Filter):
+        self.of = of
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self.levels = np.zeros(0, dtype=np.int64)
+
+    def level(self, hashes: np.ndarray) -> np.ndarray:
+        """As ``Filter.level``, for sorted different hashes."""
+        out = np.zeros(len(hashes), dtype=np.int64)
+        new = np.ones(len(hashes), dtype=bool)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            new = self.hashes[at] != hashes
+            out[~new] = self.levels[at[~new]]
+        out[new] = self.of.level(hashes[new])
+        often = new & (out >= 8)
+        if len(self.hashes) + often.sum() <= self.ROOM:
+            known = np.concatenate([self.hashes, hashes[often]])
+            order = np.argsort(known)
+            self.hashes, self.levels = known[order], np.concatenate([self.levels, out[often]])[order]
+        return out
+
+
 @dataclass
 class Model:
     words: Filter
@@ -308,15 +340,20 @@ def train(texts: DataFrame) -> Model:
     )
 
 
-def log_probabilities(model: Model, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+_LATEST: list[Memory] = []
+
+
+def log_probabilities(model: Model, memory: Memory, after: np.ndarray, before: np.ndarray) -> np.ndarray:
     """log10 of the smoothed probability of each token after the one before it, all from membership probes."""
     scale = np.concatenate([[0], levels(1)])
     words, place = np.unique(after, return_inverse=True)
-    level = model.words.level(words)
+    level = memory.level(words)
     single = ((scale[level] + 1) / (model.n + model.v + 1))[place]
-    # The text begins as often as it ends.
-    context, at = np.unique(np.where(before == BEGIN, END, before), return_inverse=True)
-    above = np.concatenate([scale[1:], scale[-1:]])[model.words.level(context)][at] - 1
+    # The token before is the last one, or the beginning of a text; texts begin as often as they end.
+    end = level[np.searchsorted(words, END)]
+    context = np.concatenate([[end], level[place[:-1]]])
+    context[before == BEGIN] = end
+    above = np.concatenate([scale[1:], scale[-1:]])[context] - 1
     pairs, where = np.unique(pair_hashes(before, after), return_inverse=True)
     together = np.concatenate([[0], levels(PAIR_COUNT)])[model.pairs.level(pairs)][where]
     share = np.minimum(together / np.maximum(above, 1), 1.0)
@@ -347,11 +384,14 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
+        if not _LATEST or _LATEST[0].of is not m.words:
+            _LATEST[:] = [Memory(m.words)]  # kept from one task to the next
+        memory = _LATEST[0]
         row = TaskContext.get().partitionId() << 40  # rows are numbered once and stored
         for batch in batches:
             for a, b, chunk in _chunks(batch, column):
                 after, before, counts = tokens(chunk)
-                logs = log_probabilities(m, after, before)
+                logs = log_probabilities(m, memory, after, before)
                 at = np.minimum(np.searchsorted(m.hot, after), max(len(m.hot) - 1, 0))
                 is_hot = m.hot[at] == after if len(m.hot) else np.zeros(len(after), dtype=bool)
                 count = np.where(is_hot, m.hot_counts[at], 0) if len(m.hot) else np.zeros(len(after))
