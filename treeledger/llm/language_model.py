@@ -2,7 +2,10 @@
 
 The filter holds, for every word and every word pair that the training texts have at least ``PAIR_COUNT`` times, the
 level of its count on a scale that is exact for small counts and geometric above: an n-gram is entered once for each
-level up to its own.  Its count is read back by probing level after level until one is missing.  The smoothed probability
+level up to its own.  It is sent to every worker, so its size is bounded: ``MAX_BITS`` for words and as much for pairs.
+Where the corpus has more entries than this has room for, at ``BITS`` bits each, the count from which n-grams are held is
+the least one that fits; rarer ones are then like unseen ones.  So the rate of false positives (about 0.5 percent) is the
+same for every corpus.  Its count is read back by probing level after level until one is missing.  The smoothed probability
 of a word after another is
 
     LAMBDA * pairs / before + (1 - LAMBDA) * (count + 1) / (N + V + 1)
@@ -11,9 +14,8 @@ with counts rounded down in the numerators and up in the denominator, so that, f
 of all known words sum to at most one.  A text is its words, lower-cased in A-Z, and one end.
 
 Training counts go through one shuffle in packed form: a task sorts and counts the hashes of its own batch and sends
-each range of hashes as one block of bytes.  The number of ranges follows the corpus, so a range stays small.  The filter
-is cut by the same ranges; each has ``BITS`` bits for an entry, and all together are at most ``MAX_BITS``, whatever the
-corpus.  Only the false-positive rate depends on that bound (about 0.5 percent below it).
+each range of hashes as one block of bytes.  The number of ranges follows the corpus, so a range stays small, and the filter is cut
+by the same ranges.
 
 The base model needs exact counts of all words.  The ``HOT`` most frequent words at most are sent to all tasks; the
 occurrences of all others, summed for each document, are joined with the table of words.
@@ -44,11 +46,11 @@ LAMBDA = 0.1
 PAIR_COUNT = 2
 STEP = 1.1  # of the geometric part of the scale
 BITS, PROBES = 12, 5
-MAX_BITS = 1 << 30
+MAX_BITS = 1 << 28
 HOT = 1 << 20
 RANGE_TOKENS = 1 << 20  # tokens a range of hashes is meant for
-CHUNK_BYTES = 1 << 22
-COUNT_TOKENS = 3_000_000  # tokens that a task counts at once
+CHUNK_BYTES = 1 << 20
+COUNT_TOKENS = 2_000_000  # tokens that a task counts at once
 WORD_BYTES, PAIR_BYTES = 8, 5  # bytes of a hash that are kept, behind those that name the range
 
 BEGIN, END, PAIR, LEVEL, SECOND = (seeds(1, 1001 + i)[0] for i in range(5))
@@ -133,6 +135,14 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list
 
 BLOCKS = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("block", T.BinaryType())])
 COUNTS = T.StructType([T.StructField("hash", T.LongType()), T.StructField("n", T.LongType())])
+MERGED = T.StructType(
+    [
+        T.StructField("range", T.IntegerType()),
+        T.StructField("hashes", T.BinaryType()),
+        T.StructField("counts", T.BinaryType()),
+        T.StructField("sizes", T.ArrayType(T.LongType())),
+    ]
+)
 SHARDS = T.StructType(
     [
         T.StructField("range", T.IntegerType()),
@@ -183,12 +193,12 @@ def _entry(hashes: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return key, mix(key ^ SECOND) | np.uint64(1)
 
 
-def shard(hashes: np.ndarray, counts: np.ndarray, least: int, most_bits: int) -> tuple[int, bytes]:
+def shard(hashes: np.ndarray, counts: np.ndarray, least: int) -> tuple[int, bytes]:
     """Size and bits of the filter of one range."""
     scale = levels(least)
     keep = counts >= least
     hashes, top = hashes[keep], np.searchsorted(scale, counts[keep], side="right")
-    size = int(min(max(64, BITS * int(top.sum())), most_bits))
+    size = max(64, BITS * int(top.sum()))
     bits = np.zeros((size + 7) // 8 * 8, dtype=bool)
     for level in range(int(top.max(initial=0))):
         key, apart = _entry(hashes[top > level], level)
@@ -198,28 +208,62 @@ def shard(hashes: np.ndarray, counts: np.ndarray, least: int, most_bits: int) ->
     return size, np.packbits(bits).tobytes()
 
 
-def shards_of_blocks(blocks: DataFrame, range_bits: int, width: int, least: int) -> DataFrame:
-    """The filter of each range."""
-    most_bits = MAX_BITS // 2 >> range_bits  # half for words, half for pairs
+def size_class(counts: np.ndarray) -> np.ndarray:
+    """Classes of counts, eight to each doubling."""
+    return np.floor(8 * np.log2(counts)).astype(np.int64)
+
+
+def least_count(sizes: dict[int, int], least: int) -> int:
+    """The least count from which all n-grams fit; ``sizes`` has the number of n-grams of each size class."""
+    classes = np.array(sorted(sizes), dtype=np.int64)
+    n = np.array([sizes[c] for c in classes], dtype=np.int64)
+    greatest = np.floor(2 ** ((classes + 1) / 8)).astype(np.int64)  # of a class
+    for count in levels(least):
+        scale = levels(int(count))
+        held = greatest >= count
+        if BITS * (n[held] * np.searchsorted(scale, greatest[held], side="right")).sum() <= MAX_BITS:
+            return int(count)
+    raise AssertionError("no n-gram is that frequent")
+
+
+def merged_blocks(blocks: DataFrame, range_bits: int, width: int, least: int) -> DataFrame:
+    """For each range the n-grams that occur ``least`` times or more, and the sizes of their counts."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         hashes, counts = unpacked(int(key[0]), list(rows["block"]), range_bits, width)
-        size, bits = shard(hashes, counts, least, most_bits)
-        return pd.DataFrame({"range": [key[0]], "size": [size], "bits": [bits]})
+        keep = counts >= least
+        sizes = np.bincount(size_class(counts[keep])) if keep.any() else np.zeros(0, dtype=np.int64)
+        made = {"range": [key[0]], "hashes": [hashes[keep].tobytes()], "counts": [counts[keep].tobytes()], "sizes": [sizes]}
+        return pd.DataFrame(made)
+
+    return blocks.groupBy("range").applyInPandas(run, MERGED)
+
+
+def shards_of_merged(merged: DataFrame, least: int) -> DataFrame:
+    """The filter of each range of merged n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                place, hashes, counts = (batch.column(i)[row].as_py() for i in range(3))
+                found = shard(np.frombuffer(hashes, dtype=np.uint64), np.frombuffer(counts, dtype=np.int64), least)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((place, *found), KINDS)], SHARDS.names)
+
+    return merged.select("range", "hashes", "counts").mapInArrow(run, SHARDS)
+
 
-    return blocks.groupBy("range").applyInPandas(run, SHARDS)
+KINDS = (pa.int32(), pa.int64(), pa.binary())
 
 
-def shards_of_words(words: DataFrame, range_bits: int) -> DataFrame:
+def shards_of_words(words: DataFrame, range_bits: int, least: int) -> DataFrame:
     """The filter of each range of a table of words."""
-    most_bits = MAX_BITS // 2 >> range_bits
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        size, bits = shard(rows["hash"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), 1, most_bits)
+        size, bits = shard(rows["hash"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), least)
         return pd.DataFrame({"range": [key[0]], "size": [size], "bits": [bits]})
 
     place = F.shiftrightunsigned("hash", 64 - range_bits).cast("int")
-    return words.withColumn("range", place).groupBy("range").applyInPandas(run, SHARDS)
+    return words.where(F.col("n") >= least).withColumn("range", place).groupBy("range").applyInPandas(run, SHARDS)
 
 
 @dataclass
@@ -252,8 +296,9 @@ class Filter:
         hashes = kept_bits(hashes, self.range_bits, self.width)
         out = np.zeros(len(hashes), dtype=np.int64)
         left = np.arange(len(hashes))
+        most = len(levels(self.least))
         level = 0
-        while left.size:
+        while left.size and level < most:
             key, apart = _entry(hashes[left], level)
             place = (hashes[left] >> np.uint64(64 - self.range_bits)).astype(np.int64)
             size, offset = self.sizes[place].astype(np.uint64), self.offsets[place]
@@ -328,10 +373,14 @@ def train(texts: DataFrame) -> Model:
     hot = words.where(bucket >= least).toArrow()  # at most HOT rows
     hashes = hot["hash"].to_numpy().astype(np.uint64)
     order = np.argsort(hashes)
-    pairs = shards_of_blocks(counted_blocks(texts, range_bits, True), range_bits, PAIR_BYTES, PAIR_COUNT)
+    blocks = counted_blocks(texts, range_bits, True)
+    pairs = stored(merged_blocks(blocks, range_bits, PAIR_BYTES, PAIR_COUNT), "lm-pairs")
+    by_class = pairs.select(F.posexplode("sizes").alias("b", "k")).groupBy("b").agg(F.sum("k").alias("k"))
+    least_word = least_count({b: k for b, (k, _) in kinds.items()}, 1)
+    least_pair = least_count({r["b"]: r["k"] for r in by_class.where("k > 0").collect()}, PAIR_COUNT)
     return Model(
-        Filter.of(shards_of_words(words, range_bits).collect(), range_bits, WORD_BYTES, 1),
-        Filter.of(pairs.collect(), range_bits, PAIR_BYTES, PAIR_COUNT),
+        Filter.of(shards_of_words(words, range_bits, least_word).collect(), range_bits, WORD_BYTES, least_word),
+        Filter.of(shards_of_merged(pairs, least_pair).collect(), range_bits, PAIR_BYTES, least_pair),
         hashes[order],
         hot["n"].to_numpy()[order],
         int(n),
@@ -345,7 +394,7 @@ _LATEST: list[Memory] = []
 
 def log_probabilities(model: Model, memory: Memory, after: np.ndarray, before: np.ndarray) -> np.ndarray:
     """log10 of the smoothed probability of each token after the one before it, all from membership probes."""
-    scale = np.concatenate([[0], levels(1)])
+    scale = np.concatenate([[0], levels(model.words.least)])
     words, place = np.unique(after, return_inverse=True)
     level = memory.level(words)
     single = ((scale[level] + 1) / (model.n + model.v + 1))[place]
@@ -353,10 +402,10 @@ def log_probabilities(model: Model, memory: Memory, after: np.ndarray, before: n
     end = level[np.searchsorted(words, END)]
     context = np.concatenate([[end], level[place[:-1]]])
     context[before == BEGIN] = end
-    above = np.concatenate([scale[1:], scale[-1:]])[context] - 1
+    above = np.maximum(np.concatenate([scale[1:], scale[-1:]])[context] - 1, 1)
     pairs, where = np.unique(pair_hashes(before, after), return_inverse=True)
-    together = np.concatenate([[0], levels(PAIR_COUNT)])[model.pairs.level(pairs)][where]
-    share = np.minimum(together / np.maximum(above, 1), 1.0)
+    together = np.concatenate([[0], levels(model.pairs.least)])[model.pairs.level(pairs)][where]
+    share = np.minimum(together / above, 1.0)
     return np.log10(LAMBDA * share + (1 - LAMBDA) * single)
 
 
