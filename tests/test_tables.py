@@ -10,6 +10,7 @@ from treeledger.plans.append import append_and_report, repair_and_publish
 from treeledger.schema import ELEMENT, ELEMENT_FIELDS
 from treeledger.session import scratch_path
 from treeledger.sources import sinks, tables
+from treeledger.streaming import incremental
 
 
 def put(tmp_path, text, name="t.csv"):
@@ -126,14 +127,14 @@ def test_order_of_several_files_has_to_be_stated(spark, tmp_path):
 
 def test_append_and_report(spark):
     path, work = scratch_path(spark, "m"), scratch_path(spark, "w")
-    elements(spark, ("p0", "x", "A-1a", "PLOT", "")).write.parquet(path)
+    incremental.create_store(elements(spark, ("p0", "x", "A-1a", "PLOT", "")).withColumn("ord", F.lit(1)), path)
     new = elements(
         spark,
         ("b1", "x", "BL1", "BLOCK", "p0"),
         ("t1", "x", "R1-S1", "TABLE", "b1"),
         ("t2", "x", "R1-S2", "TABLE", "nowhere"),
         ("i1", "x", "I1", "INVERTER", ""),
-    )
+    ).selectExpr("*", "'f' as folder_name", "'g' as file_name", "2L as row_idx", "1 as col_idx")
     labels = spark.createDataFrame([("x", "A-1a")], "PROJECT_ID string, PLOT_NAME string")
     for before in (1, 5):
         got = append_and_report(spark, new, path, work, labels, f"stamp{before}")
@@ -146,6 +147,7 @@ def test_append_and_report(spark):
         ("empty_parent", "I1"), ("parent_not_found", "BL1"), ("parent_not_found", "R1-S2")
     ]
     assert spark.read.parquet(f"{work}/snapshots").count() == 1 + 5
+    assert {r.batch_id for r in incremental.read_store(spark, path).collect()} == {-1, 0, 1}
 
 
 def test_repair_and_publish_is_idempotent(spark):

@@ -108,6 +108,7 @@ def files_top(files: DataFrame, n: int = 2) -> DataFrame:
 def sheet_profile(cells: DataFrame) -> DataFrame:
     """Per sheet: size, header and rows 2 to 5, and whether all sheets of the folder share one header.
 
+    Headers are compared cell by cell with their columns, so a gap or a separator inside a value makes a difference.
     The header (row 1) and the sample rows are picked by conditional aggregates, so only the counts see every cell.
     """
     sheet = ["folder_name", "file_name", "sheet_name"]
@@ -123,8 +124,11 @@ def sheet_profile(cells: DataFrame) -> DataFrame:
         return F.array_join(F.transform(in_row, lambda c: c["value"]), "|")
 
     rows = {1: "header", 2: "row_2", 3: "row_3", 4: "row_4", 5: "row_5"}
-    profiled = per_sheet.select(*sheet, "max_row", "max_col", *[row(i).alias(n) for i, n in rows.items()])
-    alike = profiled.groupBy("folder_name").agg((F.min("header") == F.max("header")).alias("same_header"))
+    named = F.transform(F.filter("few", lambda c: c["row_idx"] == 1), lambda c: F.struct(c["col_idx"], c["value"]))
+    profiled = per_sheet.select(
+        *sheet, "max_row", "max_col", *[row(i).alias(n) for i, n in rows.items()], F.xxhash64(named).alias("cells")
+    )
+    alike = profiled.groupBy("folder_name").agg((F.min("cells") == F.max("cells")).alias("same_header"))
     return profiled.join(alike, "folder_name").select(*sheet, "max_row", "max_col", *rows.values(), "same_header")
 
 
@@ -147,6 +151,8 @@ def column_samples(cells: DataFrame, rows: int = 20, samples: int = 10, columns:
         header_candidates(cells).groupBy(*sheet).agg((F.count(F.lit(1)) + 1).alias("start"))
     )
     top = cells.where((F.col("row_idx") <= rows + 5) & (F.col("col_idx") <= columns))
+    if "is_blank" in cells.columns:  # zero and FALSE are no samples
+        top = top.where(~F.col("is_blank"))
     top = top.withColumn("sample", N.clean_cell("value")).where("sample is not null")
     near = (
         top.join(headers, sheet)

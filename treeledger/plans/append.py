@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from treeledger.operators import repair, rollups, verify
+from treeledger.schema import VISIT_ORDER
 from treeledger.sources import sinks
+from treeledger.streaming import incremental
 
 
 @dataclass(frozen=True)
@@ -34,17 +36,19 @@ def report(new: DataFrame, order: list[str], labels: DataFrame) -> dict[str, Dat
 
 
 def append_and_report(
-    spark: SparkSession, new: DataFrame, master_path: str, work: str, labels: DataFrame, stamp: str
+    spark: SparkSession, new: DataFrame, store_path: str, work: str, labels: DataFrame, stamp: str
 ) -> AppendReport:
-    """Snapshot the master table, append ``new`` to it, compare the counts and report.
+    """Snapshot the master table, append ``new`` to it as its next batch, compare the counts and report.
 
-    ``new`` has the columns of the master.  Appending twice adds the rows twice: uniqueness is the extraction's task.
+    ``new`` has the elements with the place where they were met, as the extraction gives them.  Appending twice adds the
+    rows twice: uniqueness is the extraction's task.
     """
-    fresh = sinks.handoff(new, f"{work}/new")
-    kept = sinks.snapshot(spark.read.parquet(master_path), f"{work}/snapshots", stamp)
+    fresh = sinks.handoff(new, f"{work}/new-{stamp}")
+    kept = sinks.snapshot(incremental.read_store(spark, store_path), f"{work}/snapshots", stamp)
     before = spark.read.parquet(kept)
-    after = sinks.append_elements(fresh, master_path)
-    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, ["TYPE", "NAME"], labels))
+    incremental.append(spark, fresh, store_path)
+    after = incremental.read_store(spark, store_path)
+    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, VISIT_ORDER, labels))
 
 
 def repair_and_publish(spark: SparkSession, base: str, plot_name: str, work: str, stamp: str) -> int | None:

@@ -11,6 +11,8 @@ from treeledger.functions import names as N
 from treeledger.functions.keys import element_id, with_keys
 from treeledger.operators import filters, identity, lookups, repair, rollups, tree, verify
 from treeledger.plans import extract, standins, workbooks
+from treeledger.plans.append import AppendReport, append_and_report
+from treeledger.plans.append import repair_and_publish as publish_repair
 from treeledger.plans.standins import Views
 from treeledger.schema import ELEMENT_FIELDS, PLOT_FIELDS, PLOT_PROJECT_FIELDS, VISIT_ORDER
 from treeledger.session import scratch_path
@@ -435,6 +437,29 @@ def run_status(v: Views) -> DataFrame:
     return extract.run_status(extract.extraction_errors(v.files, v.plot_projects))
 
 
+def _workbook_inputs(v: Views) -> tuple[extract.Inputs, DataFrame]:
+    """Inputs and unreadable files from workbooks, each opened once."""
+    scanned = sheets.scan_files(v.spark, _packed(v))
+    return extract.read_inputs(scanned, v.plot_projects, v.design_elements, work=scratch(v, "parsed"))
+
+
+@query
+def extract_workbooks(v: Views) -> DataFrame:
+    """Folders of workbooks to new elements in one run."""
+    return extract.extract_elements(_workbook_inputs(v)[0])
+
+
+@query
+def workbook_run_stats(v: Views) -> DataFrame:
+    return extract.run_stats(_workbook_inputs(v)[0])
+
+
+@query
+def workbook_run_status(v: Views) -> DataFrame:
+    inputs, failed = _workbook_inputs(v)
+    return extract.run_status(extract.extraction_errors(inputs.files, v.plot_projects, failed))
+
+
 @query
 def workbook_errors(v: Views) -> DataFrame:
     scanned = sheets.scan_files(v.spark, _packed(v))
@@ -442,6 +467,36 @@ def workbook_errors(v: Views) -> DataFrame:
     return extract.extraction_errors(inputs.files, v.plot_projects, failed)
 
 
+def _appended(v: Views) -> AppendReport:
+    path = scratch(v, "reported-master")
+    incremental.create_store(v.design_elements, path)
+    return append_and_report(v.spark, v.new_located, path, scratch(v, "append"), v.targets, "20250101_000000")
+
+
+@query
+def append_report_reconciliation(v: Views) -> DataFrame:
+    return _appended(v).reconciliation
+
+
+@query
+def append_report_by_type(v: Views) -> DataFrame:
+    return _appended(v).by_type
+
+
+@query
+def append_report_issues(v: Views) -> DataFrame:
+    return _appended(v).issues
+
+
+@query
+def repair_and_publish(v: Views) -> DataFrame:
+    """A versioned master without one root row, mended and published, with a snapshot of what was there."""
+    base = scratch(v, "published")
+    sinks.rewrite(v.design_elements, base)
+    assert publish_repair(v.spark, base, RESTORED_PLOT, scratch(v, "repair"), "20250101_000000") == 2
+    return sinks.read_current(v.spark, base)
+
+
 @query
 def rows_per_file(v: Views) -> DataFrame:
     return rollups.rows_per_file(v.files, v.sheet_rows)
@@ -523,7 +578,8 @@ def hierarchy_issues(v: Views) -> DataFrame:
 
 @query
 def hierarchy_issues_full(v: Views) -> DataFrame:
-    return verify.hierarchy_issues(written_new(v), v.design_elements)
+    checked = written_new(v).select(*ELEMENT_FIELDS).unionByName(v.bad_elements)
+    return verify.hierarchy_issues(sinks.handoff(checked, scratch(v, "checked")), v.design_elements)
 
 
 @query

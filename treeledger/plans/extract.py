@@ -27,6 +27,7 @@ from treeledger.schema import ELEMENT_FIELDS, KEY, VISIT_ORDER
 from treeledger.sources import sheets, sinks
 
 MASTER_ORDER = ["ord"]
+SMALL_MAP = 200_000  # plots
 
 
 def resolve_projects(named: DataFrame, plots: DataFrame) -> DataFrame:
@@ -195,12 +196,18 @@ def read_inputs(
 ) -> tuple[Inputs, DataFrame]:
     """Inputs from scanned sheet files, and the files that could not be read.
 
-    Files whose folder or name gives no plot or block are never opened.  There is no join before the files are parsed:
-    it could move their content.  With a folder ``work`` the parsed rows are written there, so that the rows and the
+    Files whose folder or name gives no plot or block are never opened, nor those whose plot has no project while the
+    plot map is small enough to be sent to all tasks (``SMALL_MAP`` rows); a larger one would have to be joined in a way
+    that moves the files' content, so then such files are read and left out later.  With a folder ``work`` the parsed rows are written there, so that the rows and the
     errors come from one reading.
     """
     named = N.plot_from_folder("folder_name").isNotNull() & N.block_from_file("file_name").isNotNull()
-    parsed = sheets.sheet_rows(scanned.where(named))
+    usable = scanned.where(named)
+    known = plots.where("PROJECT_ID <> ''").select("k_plot").distinct()
+    if known.limit(SMALL_MAP + 1).count() <= SMALL_MAP:
+        here = F.upper(N.plot_from_folder("folder_name")) == F.col("k_plot")
+        usable = usable.join(F.broadcast(known), here, "left_semi")
+    parsed = sheets.sheet_rows(usable)
     if work:
         parsed = sinks.handoff(parsed, work)
     files = scanned.select("folder_name", "file_name")

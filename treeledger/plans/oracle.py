@@ -72,16 +72,19 @@ VIEWS: dict[str, str] = {
     "workbook_rows": """select w.folder_name, w.file_name, row_idx, nullif(table_raw, '') as table_raw, nullif(inverter_raw, '') as inverter_raw
       from workbook_all w left join workbook_bad b using (folder_name, file_name) where bad_idx is null or row_idx < bad_idx""",
     "plots_projects": f"""select 0 as ord, {uid("'pp|stale'")} as ID, {uid("'project|stale'")} as PROJECT_ID, {uid("'plot|stale'")} as PLOT_ID, 'b-13A' as PLOT_NAME
-      union all select 10+r_regionkey, {tag('pp', 'r_regionkey')}, {tag('project', 'r_regionkey')}, {tag('plot', 'r_regionkey')}, {S.REGION_NAME} from region where r_regionkey < 4
+      union all select 10+r_regionkey, {tag('pp', 'r_regionkey')}, {tag('project', 'r_regionkey')}, {tag('plot', 'r_regionkey')}, {S.MAPPED_REGION} from region
       union all select 100+s_suppkey, {tag('pp|s', 's_suppkey')}, {S.SUPPLIER_PROJECT}, {uid(S.S_PLOT_SEED)}, {S.SUPPLIER_NAME} from supplier""",
-    "plots": f"""select r_regionkey as ord, {tag('plot', 'r_regionkey')} as ID, {uid("'location|0'")} as LOCATION_ID, {S.REGION_NAME} as NAME, '' as DESIGN_ELEMENT_ID from region where r_regionkey <> 2
-      union all select 100+s_suppkey, {uid(S.S_PLOT_SEED)}, {tag('location', 's_suppkey%13')}, {S.SUPPLIER_NAME}, '' from supplier where s_suppkey%4 <> 1""",
+    "plots": f"""select r_regionkey as ord, {S.PLOT_OF_REGION} as ID, {uid("'location|0'")} as LOCATION_ID, {S.REGION_NAME} as NAME, '' as DESIGN_ELEMENT_ID from region
+      union all select 100+s_suppkey, {S.PLOT_OF_SUPPLIER}, {tag('location', 's_suppkey%13')}, {S.SUPPLIER_NAME}, '' from supplier""",
     "targets": f"select {tag('project', 'r_regionkey')} as PROJECT_ID, {S.REGION_NAME} as PLOT_NAME from region",
-    "design_elements": f"""select cast(0 as bigint) as ord, {uid("'m|PLOT|0'")} as ID, {uid("'project|0'")} as PROJECT_ID, 'A-12a' as NAME, 'PLOT' as TYPE, '' as PARENT_ID
-      union all select 100+n_nationkey, {tag('m|BLOCK', 'n_nationkey')}, {tag('project', 'n_regionkey')}, 'BL'||lpad(cast(n_nationkey as string),2,'0'), 'BLOCK', {tag('m|PLOT', 'n_regionkey')}
-        from nation where n_regionkey in (0,1) and n_nationkey < 15
-      union all select 1000+c_custkey, {tag('m|TABLE', 'c_custkey')}, upper({tag('project', 'n_regionkey')}), {S.TABLE_NAME}, 'TABLE', {tag('m|BLOCK', 'n_nationkey')}
-        from customer join nation on c_nationkey=n_nationkey where c_custkey%3=0""",
+    "design_elements": f"""select cast(r_regionkey as bigint) as ord, {S.MASTER_PLOT_ID} as ID, {tag('project', 'r_regionkey')} as PROJECT_ID,
+        {S.MASTER_PLOT_NAME} as NAME, 'PLOT' as TYPE, '' as PARENT_ID from region
+      union all select 100+n_nationkey, {tag('m|BLOCK', 'n_nationkey')}, {tag('project', 'n_regionkey')}, 'BL'||lpad(cast(n_nationkey as string),2,'0'), {S.MASTER_BLOCK_TYPE}, {tag('m|PLOT', 'n_regionkey')}
+        from nation
+      union all select 1000+c_custkey, {S.MASTER_LEAF_ID}, upper({tag('project', 'n_regionkey')}), {S.MASTER_LEAF_NAME}, {S.MASTER_LEAF_TYPE}, {tag('m|BLOCK', 'n_nationkey')}
+        from customer join nation on c_nationkey=n_nationkey""",
+    "bad_elements": f"""select {tag('bad', 's_suppkey')} as ID, {uid("'project|0'")} as PROJECT_ID, 'bad '||cast(s_suppkey as string) as NAME, {S.BAD_TYPE} as TYPE, {S.BAD_PARENT} as PARENT_ID
+      from supplier""",
     "numbered_lines": "select row_number() over (order by ord) as rn, ID||','||PROJECT_ID||','||NAME||','||TYPE||','||PARENT_ID as line from design_elements",
     "raw_lines": """select rn as line_no, case when rn%20=0 and nxt is not null then line||nxt else line end as value
       from (select rn, line, lead(line) over (order by rn) as nxt from numbered_lines) where rn=1 or rn%20<>1""",
@@ -126,6 +129,8 @@ VIEWS: dict[str, str] = {
     "new_elements": "select ID, PROJECT_ID, NAME, TYPE, PARENT_ID from new_located",
     "final_master": """select ID, PROJECT_ID, NAME, TYPE, PARENT_ID, -1 as batch_id, '' as folder_name, '' as file_name, ord as row_idx, 0 as col_idx from design_elements
       union all select ID, PROJECT_ID, NAME, TYPE, PARENT_ID, 0, folder_name, file_name, row_idx, col_idx from new_located""",
+    "checked_elements": """select ID, PROJECT_ID, NAME, TYPE, PARENT_ID from new_elements
+      union all select ID, PROJECT_ID, NAME, TYPE, PARENT_ID from bad_elements""",
     "new_issues": """select case when TYPE='PLOT' then 'plot_has_parent' when PARENT_ID='' then 'empty_parent' else 'parent_not_found' end as kind, TYPE, NAME, ID, PROJECT_ID, PARENT_ID
       from new_elements e where (TYPE='PLOT' and PARENT_ID<>'') or (TYPE in ('BLOCK','TABLE','INVERTER')
         and (PARENT_ID='' or not exists (select 1 from new_elements p where p.ID=e.PARENT_ID)))""",
@@ -307,9 +312,10 @@ BODIES: dict[str, str] = {
     "issue_summary": "select kind, count(*) as n from (select kind from extraction_errors union all select kind from new_issues) group by kind",
     "extraction_errors": "select kind, folder_name, file_name from extraction_errors",
     "hierarchy_issues": "select * from new_issues",
-    "hierarchy_issues_full": "select * from new_issues where PARENT_ID not in (select ID from design_elements)",
+    "hierarchy_issues_full": f"""select case when TYPE='PLOT' then 'plot_has_parent' when PARENT_ID='' then 'empty_parent' else 'parent_not_found' end as kind, TYPE, NAME, ID, PROJECT_ID, PARENT_ID
+      from checked_elements e where (TYPE='PLOT' and PARENT_ID<>'') or (TYPE in ('BLOCK','TABLE','INVERTER') and (PARENT_ID='' or PARENT_ID not in (select ID from checked_elements union all select ID from design_elements)))""",
     "master_issues": """select case when PARENT_ID='' then 'empty_parent' else 'parent_not_found' end as kind, TYPE, NAME, ID, PROJECT_ID, PARENT_ID from design_elements
-      where TYPE<>'PLOT' and PARENT_ID not in (select ID from design_elements)""",
+      where TYPE in ('BLOCK','TABLE','INVERTER') and PARENT_ID not in (select ID from design_elements)""",
     "first_issues": "select *, greatest((select count(*) from new_issues)-10, 0) as n_more from new_issues order by kind, TYPE, NAME, ID limit 10",
     "sheet_profile": f"""select *, count(distinct header) over (partition by folder_name) = 1 as same_header
       from (select {SHEET}, max(row_idx) as max_row, cast(max(col_idx) as bigint) as max_col, {_row(1)} as header,
@@ -333,6 +339,16 @@ BODIES: dict[str, str] = {
     "verify_repair": """select count(*) as n_rows, count(*) filter (is_it) as n_found, min(PROJECT_ID) filter (is_it) as PROJECT_ID, min(NAME) filter (is_it) as NAME,
         min(TYPE) filter (is_it) as TYPE, min(PARENT_ID) filter (is_it) as PARENT_ID
       from (select *, ID = (select min(ID) from restored where NAME='B-13a' and TYPE='PLOT') as is_it from restored)""",
+    "extract_workbooks": f"select {ELEMENT} from new_elements",
+    "workbook_run_stats": _stats("new_leaves"),
+    "workbook_run_status": """select *, case when n_errors>0 then 'errors' when n_warnings>0 then 'warnings' else 'ok' end as status
+      from (select count(*) filter (kind='plot_mismatch') as n_warnings, count(*) filter (kind<>'plot_mismatch') as n_errors
+        from (select kind from extraction_errors union all select 'sheet_error' from workbook_bad join usable using (folder_name, file_name)))""",
+    "append_report_reconciliation": """select n_before, n_added, n_before+n_added as n_expected, n_before+n_added as n_after, cast(0 as bigint) as difference, true as passed
+      from (select (select count(*) from design_elements) as n_before, (select count(*) from new_elements) as n_added)""",
+    "append_report_by_type": "select TYPE, count(*) as n from new_elements group by TYPE",
+    "append_report_issues": "select * from new_issues",
+    "repair_and_publish": f"select ord, {ELEMENT} from restored",
     "incremental_extract": f"select {ELEMENT} from new_elements",
     "incremental_errors": f"""select kind, folder_name, file_name from extraction_errors
       union select 'sheet_error', folder_name, file_name from workbook_bad join usable using (folder_name, file_name)
@@ -364,5 +380,5 @@ def _for_workbooks() -> dict[str, str]:
     return {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
 
 
-OVER_WORKBOOKS = {"incremental_extract", "incremental_errors", "workbook_errors"}
+OVER_WORKBOOKS = {"extract_workbooks", "workbook_run_stats", "workbook_run_status", "incremental_extract", "incremental_errors", "workbook_errors"}
 ORACLES = {name: complete(body, _for_workbooks() if name in OVER_WORKBOOKS else VIEWS) for name, body in BODIES.items()}

@@ -85,6 +85,21 @@ HEADER = ("MMS Table Names", "Inverter Names")
 REGION_NAME = "substr('ABCDS', r_regionkey+1, 1)||'-'||cast(r_regionkey+12 as string)||'a'"
 TABLE_NAME = "case when c_custkey%2=0 then 'r' else 'R' end||cast(c_custkey%60 as string)||'-S'||cast(c_custkey%9 as string)"
 
+# The master, the plot map and the plots take every row of their tables; what a run should not find there has another
+# name, type or id.
+MAPPED_REGION = f"case when r_regionkey<4 then {REGION_NAME} else 'Q-'||cast(r_regionkey+12 as string)||'a' end"
+PLOT_OF_REGION = f"case when r_regionkey<>2 then {tag('plot', 'r_regionkey')} else {tag('plot|none', 'r_regionkey')} end"
+PLOT_OF_SUPPLIER = f"case when s_suppkey%4<>1 then {uid(S_PLOT_SEED)} else {tag('plot|none|s', 's_suppkey')} end"
+MASTER_PLOT_ID = f"case when r_regionkey=0 then {tag('m|PLOT', 'r_regionkey')} else {tag('m|old plot', 'r_regionkey')} end"
+MASTER_PLOT_NAME = f"case when r_regionkey=0 then {REGION_NAME} else 'Q-'||cast(r_regionkey+12 as string)||'a' end"
+MASTER_BLOCK_TYPE = "case when n_regionkey in (0,1) and n_nationkey < 15 then 'BLOCK' else 'Old block' end"
+LEAF_KIND = "cast(c_custkey%3 as int)"
+MASTER_LEAF_ID = f"case {LEAF_KIND} when 0 then {tag('m|TABLE', 'c_custkey')} when 1 then {tag('m|INVERTER', 'c_custkey')} else {tag('m|old', 'c_custkey')} end"
+MASTER_LEAF_NAME = f"case {LEAF_KIND} when 0 then {TABLE_NAME} when 1 then 'I'||cast(c_custkey%48 as string) else 'old '||{TABLE_NAME} end"
+MASTER_LEAF_TYPE = f"case {LEAF_KIND} when 0 then 'TABLE' when 1 then 'INVERTER' else 'table' end"
+# Elements with a wrong parent link, one of three kinds for each supplier.
+BAD_TYPE = "case cast(s_suppkey%3 as int) when 0 then 'TABLE' when 1 then 'BLOCK' else 'PLOT' end"
+BAD_PARENT = f"case cast(s_suppkey%3 as int) when 1 then '' else {tag('nowhere', 's_suppkey')} end"
 
 # The columns that are used; a given schema saves a job that would read file footers.
 SCHEMAS = {
@@ -146,9 +161,9 @@ class Views:
             "0 as ord", f"{uid(repr('pp|stale'))} as ID", f"{uid(repr('project|stale'))} as PROJECT_ID",
             f"{uid(repr('plot|stale'))} as PLOT_ID", "'b-13A' as PLOT_NAME",
         )
-        regions = self.table("region").where("r_regionkey < 4").selectExpr(
+        regions = self.table("region").selectExpr(
             "10+r_regionkey as ord", f"{tag('pp', 'r_regionkey')} as ID", f"{tag('project', 'r_regionkey')} as PROJECT_ID",
-            f"{tag('plot', 'r_regionkey')} as PLOT_ID", f"{REGION_NAME} as PLOT_NAME",
+            f"{tag('plot', 'r_regionkey')} as PLOT_ID", f"{MAPPED_REGION} as PLOT_NAME",
         )
         suppliers = self.table("supplier").selectExpr(
             "100+s_suppkey as ord", f"{tag('pp|s', 's_suppkey')} as ID", f"{SUPPLIER_PROJECT} as PROJECT_ID",
@@ -158,12 +173,12 @@ class Views:
 
     @cached_property
     def plots(self) -> DataFrame:
-        regions = self.table("region").where("r_regionkey <> 2").selectExpr(
-            "r_regionkey as ord", f"{tag('plot', 'r_regionkey')} as ID", f"{uid(repr('location|0'))} as LOCATION_ID",
+        regions = self.table("region").selectExpr(
+            "r_regionkey as ord", f"{PLOT_OF_REGION} as ID", f"{uid(repr('location|0'))} as LOCATION_ID",
             f"{REGION_NAME} as NAME", "'' as DESIGN_ELEMENT_ID",
         )
-        suppliers = self.table("supplier").where("s_suppkey%4 <> 1").selectExpr(
-            "100+s_suppkey as ord", f"{uid(S_PLOT_SEED)} as ID", f"{tag('location', 's_suppkey%13')} as LOCATION_ID",
+        suppliers = self.table("supplier").selectExpr(
+            "100+s_suppkey as ord", f"{PLOT_OF_SUPPLIER} as ID", f"{tag('location', 's_suppkey%13')} as LOCATION_ID",
             f"{SUPPLIER_NAME} as NAME", "'' as DESIGN_ELEMENT_ID",
         )
         return regions.unionByName(suppliers)
@@ -174,20 +189,20 @@ class Views:
 
     @cached_property
     def design_elements(self) -> DataFrame:
-        plot = self.table("region").where("r_regionkey = 0").selectExpr(
-            "cast(r_regionkey as bigint) as ord", f"{tag('m|PLOT', 'r_regionkey')} as ID", f"{tag('project', 'r_regionkey')} as PROJECT_ID",
-            f"{REGION_NAME} as NAME", "'PLOT' as TYPE", "'' as PARENT_ID",
+        plot = self.table("region").selectExpr(
+            "cast(r_regionkey as bigint) as ord", f"{MASTER_PLOT_ID} as ID", f"{tag('project', 'r_regionkey')} as PROJECT_ID",
+            f"{MASTER_PLOT_NAME} as NAME", "'PLOT' as TYPE", "'' as PARENT_ID",
         )
         nation = self.table("nation")
-        blocks = nation.where("n_regionkey in (0,1) and n_nationkey < 15").selectExpr(
+        blocks = nation.selectExpr(
             "100+n_nationkey as ord", f"{tag('m|BLOCK', 'n_nationkey')} as ID", f"{tag('project', 'n_regionkey')} as PROJECT_ID",
-            "'BL'||lpad(cast(n_nationkey as string),2,'0') as NAME", "'BLOCK' as TYPE", f"{tag('m|PLOT', 'n_regionkey')} as PARENT_ID",
+            "'BL'||lpad(cast(n_nationkey as string),2,'0') as NAME", f"{MASTER_BLOCK_TYPE} as TYPE", f"{tag('m|PLOT', 'n_regionkey')} as PARENT_ID",
         )
-        customers = self.table("customer").select("c_custkey", "c_nationkey").where("c_custkey%3=0")
+        customers = self.table("customer").select("c_custkey", "c_nationkey")
         tables = customers.join(nation.select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
         tables = tables.selectExpr(
-            "1000+c_custkey as ord", f"{tag('m|TABLE', 'c_custkey')} as ID", f"upper({tag('project', 'n_regionkey')}) as PROJECT_ID",
-            f"{TABLE_NAME} as NAME", "'TABLE' as TYPE", f"{tag('m|BLOCK', 'n_nationkey')} as PARENT_ID",
+            "1000+c_custkey as ord", f"{MASTER_LEAF_ID} as ID", f"upper({tag('project', 'n_regionkey')}) as PROJECT_ID",
+            f"{MASTER_LEAF_NAME} as NAME", f"{MASTER_LEAF_TYPE} as TYPE", f"{tag('m|BLOCK', 'n_nationkey')} as PARENT_ID",
         )
         return plot.unionByName(blocks).unionByName(tables)
 
@@ -225,6 +240,14 @@ class Views:
     def new_elements(self) -> DataFrame:
         return self.new_located.select(*ELEMENT_FIELDS)
 
+    @cached_property
+    def bad_elements(self) -> DataFrame:
+        """Elements with a wrong parent link."""
+        return self.table("supplier").selectExpr(
+            f"{tag('bad', 's_suppkey')} as ID", f"{uid(repr('project|0'))} as PROJECT_ID",
+            "'bad '||cast(s_suppkey as string) as NAME", f"{BAD_TYPE} as TYPE", f"{BAD_PARENT} as PARENT_ID",
+        )
+
     @cached_property
     def final_master(self) -> DataFrame:
         """The master with the new elements after it, in the order of the master table of an incremental run."""
