@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 NONE = np.int32(2**31 - 1)
 CELLS = 1 << 19  # tree leaves that are worked on at once
 CHUNK_CHARS = 1 << 20  # text whose pretokens are held at once
-CACHE_WORDS = 400_000  # pretokens whose ids a worker remembers; more only cost time
+CACHE_WORDS = 200_000  # pretokens whose ids a worker remembers; more only cost time
 
 
 def byte_characters() -> list[str]:
