@@ -42,7 +42,7 @@ def written_new(v: Views) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------------------------------------------------
 
 
-def _packed(v: Views, rows: DataFrame | None = None, root: str | None = None) -> str:
+def packed(v: Views, rows: DataFrame | None = None, root: str | None = None) -> str:
     root = root or scratch(v, "sheets")
     workbooks.write_workbooks(v.workbook_rows if rows is None else rows, root, standins.HEADER)
     return root
@@ -60,18 +60,18 @@ def _as_csv(v: Views, df: DataFrame, fields: list[str], pad: bool = True) -> str
 
 @query
 def scan_sheet_files(v: Views) -> DataFrame:
-    return sheets.scan_files(v.spark, _packed(v)).select("folder_name", "file_name")
+    return sheets.scan_files(v.spark, packed(v)).select("folder_name", "file_name")
 
 
 @query
 def scan_sheet_rows(v: Views) -> DataFrame:
-    rows = sheets.sheet_rows(sheets.scan_files(v.spark, _packed(v)))
+    rows = sheets.sheet_rows(sheets.scan_files(v.spark, packed(v)))
     return rows.select("folder_name", "file_name", "row_idx", "table_raw", "inverter_raw", F.col("error").isNotNull().alias("is_error"))
 
 
 @query
 def scan_sheet_cells(v: Views) -> DataFrame:
-    cells = sheets.sheet_cells(sheets.scan_files(v.spark, _packed(v)))
+    cells = sheets.sheet_cells(sheets.scan_files(v.spark, packed(v)))
     return cells.select("folder_name", "file_name", "sheet_name", "is_active", "row_idx", "col_idx", "value")
 
 
@@ -437,32 +437,32 @@ def run_status(v: Views) -> DataFrame:
     return extract.run_status(extract.extraction_errors(v.files, v.plot_projects))
 
 
-def _workbook_inputs(v: Views) -> tuple[extract.Inputs, DataFrame]:
-    """Inputs and unreadable files from workbooks, each opened once."""
-    scanned = sheets.scan_files(v.spark, _packed(v))
+def workbook_inputs(v: Views, root: str | None = None) -> tuple[extract.Inputs, DataFrame]:
+    """Inputs and unreadable files from workbooks, each opened once; they are made unless a folder has them."""
+    scanned = sheets.scan_files(v.spark, root or packed(v))
     return extract.read_inputs(scanned, v.plot_projects, v.design_elements, work=scratch(v, "parsed"))
 
 
 @query
 def extract_workbooks(v: Views) -> DataFrame:
     """Folders of workbooks to new elements in one run."""
-    return extract.extract_elements(_workbook_inputs(v)[0])
+    return extract.extract_elements(workbook_inputs(v)[0])
 
 
 @query
 def workbook_run_stats(v: Views) -> DataFrame:
-    return extract.run_stats(_workbook_inputs(v)[0])
+    return extract.run_stats(workbook_inputs(v)[0])
 
 
 @query
 def workbook_run_status(v: Views) -> DataFrame:
-    inputs, failed = _workbook_inputs(v)
+    inputs, failed = workbook_inputs(v)
     return extract.run_status(extract.extraction_errors(inputs.files, v.plot_projects, failed))
 
 
 @query
 def workbook_errors(v: Views) -> DataFrame:
-    scanned = sheets.scan_files(v.spark, _packed(v))
+    scanned = sheets.scan_files(v.spark, packed(v))
     inputs, failed = extract.read_inputs(scanned, v.plot_projects, v.design_elements)
     return extract.extraction_errors(inputs.files, v.plot_projects, failed)
 
@@ -672,7 +672,7 @@ def _arrivals(v: Views, odd: bool = False) -> str:
     plots = sinks.handoff(v.plot_projects, scratch(v, "plots"))
     early = F.substring("folder_name", 1, 1) < "C"
     for wave in (v.workbook_rows.where(early), v.workbook_rows.where(~early)):
-        _packed(v, wave, root)
+        packed(v, wave, root)
         if odd:
             workbooks.write_files(v.odd_files, root)
         stream = incremental.file_stream(v.spark, root, shadow)
