@@ -131,3 +131,42 @@ def test_block_flag_and_table_tag_differ(spark):
     more = cells.unionByName(cells.where("row_idx > 1").withColumn("row_idx", F.col("row_idx") + 4))
     row = verify.column_patterns(more).first()
     assert (row.has_table, row.has_inverter, row.has_block, row.n_table_tags, row.n_inverter_tags) == (False, True, True, 1, 1)
+
+
+CELLS = "folder_name string, file_name string, sheet_name string, row_idx bigint, col_idx bigint, value string, is_blank boolean"
+
+
+def test_zeros_are_no_samples_and_headers_are_compared_by_column(spark):
+    def sheet(name, *grid):
+        return [
+            ("f", "x.xlsx", name, r, c, v, v in ("0", "False", ""))
+            for r, row in enumerate(grid, 1)
+            for c, v in enumerate(row, 1)
+            if v is not None
+        ]
+
+    body = [["0", "R1-T1"] for _ in range(7)] + [["I-1", "R2-T1"]]
+    one = sheet("one", ["a", None, "b"], [" sub ", "0"], *body)
+    cells = spark.createDataFrame(one + sheet("two", ["a", "b"], ["x"]), CELLS)
+    samples = verify.column_samples(cells).where("sheet_name = 'one' and col_idx = 1").collect()
+    assert [r.sample for r in samples] == ["I-1"]  # the first five rows are headers, and the zeros do not count
+    profile = {r.sheet_name: r for r in verify.sheet_profile(cells).collect()}
+    assert profile["one"].header == profile["two"].header == "a|b" and not profile["one"].same_header
+    assert profile["one"].max_col == 3 and profile["two"].max_row == 2
+    headers = {(r.sheet_name, r.col_idx): r.header for r in verify.column_headers(cells).collect()}
+    assert headers["one", 1] == "a | sub" and headers["one", 2] == "R1-T1" and headers["one", 3] == "b"
+    no_text = spark.createDataFrame([("f", "x", "s", 1, 2, "0", True)], CELLS)
+    assert verify.column_headers(no_text).first().header == "Col2"
+
+
+def test_every_sheet_of_a_workbook_is_profiled(spark, tmp_path):
+    from treeledger.plans.workbooks import pack, sheet_xml
+    from treeledger.sources import sheets
+
+    (tmp_path / "A16a - 5 MW").mkdir()
+    book = {"DWG Data": sheet_xml([["T", "I"], ["R1-T1", "I-1"]]), "Notes": sheet_xml([["Remark"], ["B-1"], ["more"]])}
+    (tmp_path / "A16a - 5 MW" / "x-A16a-BL01-R0.xlsx").write_bytes(pack(book))
+    cells = sheets.sheet_cells(sheets.scan_files(spark, str(tmp_path)))
+    profile = {r.sheet_name: (r.max_row, r.max_col, r.header) for r in verify.sheet_profile(cells).collect()}
+    assert profile == {"DWG Data": (2, 2, "T|I"), "Notes": (3, 1, "Remark")}
+    assert {(r.sheet_name, r.col_idx) for r in verify.column_headers(cells).collect()} == {("DWG Data", 1), ("DWG Data", 2), ("Notes", 1)}

@@ -184,6 +184,22 @@ def column_patterns(cells: DataFrame) -> DataFrame:
     )
 
 
+def column_headers(cells: DataFrame, rows: int = 3, columns: int = 29) -> DataFrame:
+    """The header of each column: its values in the first rows, joined, or its number where there are none."""
+    filled = F.col("value") != ""
+    if "is_blank" in cells.columns:  # zero and FALSE are no headers
+        filled &= ~F.col("is_blank")
+    top = F.when((F.col("row_idx") <= rows) & filled, F.struct("row_idx", N.strip("value").alias("text")))
+    named = (
+        cells.where(F.col("col_idx") <= columns)
+        .groupBy("folder_name", "file_name", "sheet_name", F.col("col_idx").cast("bigint").alias("col_idx"))
+        .agg(F.array_sort(F.collect_list(top)).alias("top"))
+    )
+    joined = F.array_join(F.transform("top", lambda c: c["text"]), " | ")
+    header = F.when(F.size("top") > 0, joined).otherwise(F.concat(F.lit("Col"), F.col("col_idx").cast("string")))
+    return named.withColumn("header", header).drop("top")
+
+
 def sheet_head(cells: DataFrame, rows: int = 10, columns: int = 19) -> DataFrame:
     """The first rows and columns of each sheet, long values cut for display."""
     return cells.where((F.col("row_idx") <= rows) & (F.col("col_idx") <= columns)).select(

@@ -607,6 +607,11 @@ def column_patterns(v: Views) -> DataFrame:
     return verify.column_patterns(v.sheet_cells)
 
 
+@query
+def column_headers(v: Views) -> DataFrame:
+    return verify.column_headers(v.sheet_cells)
+
+
 @query
 def column_samples(v: Views) -> DataFrame:
     return verify.column_samples(v.sheet_cells)

@@ -324,6 +324,9 @@ BODIES: dict[str, str] = {
     "column_patterns": f"""select {SHEET}, cast(col_idx as bigint) as col_idx, bool_or(contains(sample,'R') and contains(sample,'T')) as has_table,
         bool_or(starts_with(sample,'I') or contains(sample,'-I')) as has_inverter, bool_or(contains(sample,'B') and contains(sample,'-')) as has_block,
         count(*) as n_samples, count(*) filter (tag='TABLE') as n_table_tags, count(*) filter (tag='INVERTER') as n_inverter_tags from tagged group by all""",
+    "column_headers": f"""select {SHEET}, cast(col_idx as bigint) as col_idx,
+        coalesce(string_agg({strip('value')}, ' | ' order by row_idx) filter (row_idx <= 3 and value <> ''), 'Col'||cast(col_idx as string)) as header
+      from sheet_cells where col_idx <= 29 group by {SHEET}, col_idx""",
     "column_samples": f"select {SHEET}, col_idx, rank, sample, tag from tagged",
     "sheet_head": f"""select {SHEET}, row_idx, cast(col_idx as bigint) as col_idx, case when length(value)>30 then substr(value,1,27)||'...' else value end as value
       from sheet_cells where row_idx<=10 and col_idx<=19""",
