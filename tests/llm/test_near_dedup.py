@@ -3,10 +3,11 @@
 import random
 
 import pytest
+from compare import connect, difference
 
 from treeledger.llm import near_dedup
 from treeledger.llm.components import components
-from treeledger.llm.queries import QUERIES
+from treeledger.llm.queries import ORACLES, QUERIES
 
 
 def lower(word):
@@ -99,6 +100,7 @@ def test_query(spark, sf_dir):
     want = by_hand(rows, 4)
     got = QUERIES["op6_near_dedup"](spark, sf_dir).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    assert difference(QUERIES["op6_near_dedup"](spark, sf_dir), connect(sf_dir), ORACLES["op6_near_dedup"]) is None
 
 
 def test_components(spark):

@@ -124,3 +124,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+ORACLES["op6_near_dedup"] = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, list_distinct(case when len(w) = 0 then []::varchar[] when len(w) < 4 then [array_to_string(w, ' ')]
+    else [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] end) as s from w),
+n as (select doc_id, len(s)::bigint as n, s from s),
+e as (select doc_id, n, unnest(s) as x from n),
+pairs as (select a.doc_id as a, b.doc_id as b from e a join e b on a.x = b.x and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+links as (select a, b from pairs union all select b, a from pairs),
+reach as (select doc_id, doc_id as r from n union select reach.doc_id, links.b from reach join links on reach.r = links.a)
+select n.doc_id, n.n as n_shingles, min(r) as component_id, n.doc_id = min(r) as kept
+from n join reach on reach.doc_id = n.doc_id group by n.doc_id, n.n"""
