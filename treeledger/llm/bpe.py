@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 NONE = np.int32(2**31 - 1)
-CELLS = 1 << 19  # tree leaves that are worked on at once
-CHUNK_CHARS = 1 << 20  # text whose pretokens are held at once
+CELLS = 1 << 17  # tree leaves that are worked on at once
+CHUNK_CHARS = 1 << 19  # text whose pretokens are held at once
 CACHE_WORDS = 200_000  # pretokens whose ids a worker remembers; more only cost time
 
 

@@ -39,7 +39,7 @@ PREFIX = COORDINATES - MATCHES + 1
 LONG = 64  # different sets in a list from which on pairs are not listed
 PIVOTS = 4
 BLOCK = 512  # sets that are compared with one another in one task
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 SMALL_ROWS = 1_000_000  # rows of one number that may be sent to every task
 
 FACTORS = seeds(16, 1)
