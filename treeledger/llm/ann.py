@@ -56,7 +56,8 @@ VECTORS = T.StructType(
 
 
 def usable_vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """Vectors that take part, as doubles, with a digest that names equal ones."""
+    """Vectors that take part, in the precision of their column, with a digest that names equal ones."""
+    single = isinstance(rows.schema[embedding].dataType.elementType, T.FloatType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,7 +65,7 @@ def usable_vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if i is None or not v or any(x is None for x in v):
                     continue
-                x = np.array(v, dtype=np.float64) + 0.0  # so that -0 is 0
+                x = np.array(v, dtype=np.float32 if single else np.float64) + 0  # so that -0 is 0
                 if np.isfinite(x).all() and x.any():
                     raw = x.tobytes()
                     found.append((i, hashlib.sha256(raw).hexdigest(), len(x), raw))
@@ -72,12 +73,16 @@ def usable_vectors(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.int32(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(arrays, VECTORS.names)
 
-    vectors = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("vector"))
+    vectors = rows.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("vector"))
+    if not single:
+        vectors = vectors.withColumn("vector", F.col("vector").cast("array<double>"))
     return vectors.mapInArrow(run, VECTORS)
 
 
-def _matrix(vectors: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), dtype=np.float64).reshape(len(vectors), -1)
+def _matrix(vectors: list[bytes], length: int) -> np.ndarray:
+    """Vectors of one length as rows of doubles; single precision is told by their number of bytes."""
+    kind = np.float32 if len(vectors[0]) == 4 * length else np.float64
+    return np.frombuffer(b"".join(vectors), dtype=kind).astype(np.float64).reshape(len(vectors), length)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -91,6 +96,7 @@ class Forest:
     """``directions[t, d]`` is the direction of level d, ``thresholds[t][d]`` has the threshold of each node there."""
 
     depth: int
+    length: int  # of the vectors
     directions: np.ndarray
     thresholds: list[list[np.ndarray]]
 
@@ -110,7 +116,7 @@ class Forest:
                 levels.append(level)
                 node = 2 * node + (along >= level[node])
             thresholds.append(levels)
-        return cls(depth, directions, thresholds)
+        return cls(depth, sample.shape[1], directions, thresholds)
 
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """Leaf of each vector in each tree."""
@@ -169,7 +175,7 @@ def _posted(vectors: DataFrame, forest: Forest, share: float | None) -> DataFram
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 keys, raw = batch.column("key").to_pylist(), batch.column("vector").to_pylist()
-                x = _unit(_matrix(raw))
+                x = _unit(_matrix(raw, held.value.length))
                 if share is None:
                     leaves = held.value.leaves(x)
                     rows = [(t, int(leaves[t, i]), keys[i], raw[i]) for t in range(len(leaves)) for i in range(len(keys))]
@@ -181,9 +187,9 @@ def _posted(vectors: DataFrame, forest: Forest, share: float | None) -> DataFram
     return vectors.select("key", "vector").mapInArrow(run, POSTS)
 
 
-def _nearest_in(asks: pd.DataFrame, holds: pd.DataFrame, k: int) -> pd.DataFrame:
+def _nearest_in(asks: pd.DataFrame, holds: pd.DataFrame, k: int, length: int) -> pd.DataFrame:
     """The k + 1 best of the held vectors for each asking one; equal scores in order of the least id."""
-    q, x = _matrix(list(asks.vector)), _matrix(list(holds.vector))
+    q, x = _matrix(list(asks.vector), length), _matrix(list(holds.vector), length)
     scores = _unit(q) @ _unit(x).T
     n = min(k + 1, len(holds))
     least = holds.least.to_numpy()
@@ -231,7 +237,7 @@ def nearest(
     part = vectors.select("vector")
     if n > sample:
         part = vectors.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < int((1 << 30) * sample / n)).select("vector")
-    forest = Forest.fit(_unit(_matrix(part.toArrow()["vector"].to_pylist())), depth)
+    forest = Forest.fit(_unit(_matrix(part.toArrow()["vector"].to_pylist(), lengths)), depth)
     # With less than a leaf of vectors there is nothing to skip.
     part_visited = min(1.0, share * (max(n, SHARE_ROWS) / SHARE_ROWS) ** -FALL) if depth > 2 else 1.0
     # Which queries there are, and under which vector each is searched.
@@ -266,7 +272,7 @@ def nearest(
     def compare(asks: pd.DataFrame, holds: pd.DataFrame) -> pd.DataFrame:
         if not len(asks) or not len(holds):
             return pd.DataFrame({"query": [], "key": [], "score": []})
-        return _nearest_in(asks, holds, k)
+        return _nearest_in(asks, holds, k, lengths)
 
     keys = ["tree", "leaf", "i", "j"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, FOUND)
