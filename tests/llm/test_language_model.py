@@ -115,3 +115,17 @@ def test_odd_rows_and_empty_training(spark):
     trained = lm.scored(docs, lm.train(docs.select("text"))).collect()
     assert all(r.n_known == r.n_tokens and r.train_tokens == 50_005 for r in trained)
     assert lm.scored(docs.limit(0), lm.train(docs.select("text"))).collect() == []
+
+
+@pytest.mark.parametrize("room", [{"HOT": 8, "HOT_PAIRS": 8, "LATE_TOKENS": 3_000}, {}])
+def test_scores_do_not_depend_on_the_room_of_the_filter(spark, sf_dir, monkeypatch, room):
+    """Rare n-grams are read from their ranges when the filter is too large to be sent."""
+    want = {r.doc_id: r for r in QUERIES["op5_language_model"](spark, sf_dir).collect()}
+    monkeypatch.setattr(lm, "MAX_BITS", 20_000)
+    for name, value in room.items():
+        monkeypatch.setattr(lm, name, value)
+    got = {r.doc_id: r for r in QUERIES["op5_language_model"](spark, sf_dir).collect()}
+    assert got.keys() == want.keys()
+    for i, r in got.items():
+        assert r.score == pytest.approx(want[i].score, rel=1e-9)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (want[i].n_tokens, want[i].n_known, want[i].train_tokens)

@@ -2,11 +2,9 @@
 
 The filter holds, for every word and every word pair that the training texts have at least ``PAIR_COUNT`` times, the
 level of its count on a scale that is exact for small counts and geometric above: an n-gram is entered once for each
-level up to its own.  It is sent to every worker, so its size is bounded: ``MAX_BITS`` for words and as much for pairs.
-Where the corpus has more entries than this has room for, at ``BITS`` bits each, the count from which n-grams are held is
-the least one that fits; rarer ones are then like unseen ones.  So the rate of false positives (about 0.5 percent) is the
-same for every corpus.  Its count is read back by probing level after level until one is missing.  The smoothed probability
-of a word after another is
+level up to its own, at ``BITS`` bits each, so the filter grows with the corpus and the rate of false positives (about 0.5
+percent) is the same for every corpus.  Its count is read back by probing level after level until one is missing.  The
+smoothed probability of a word after another is
 
     LAMBDA * pairs / before + (1 - LAMBDA) * (count + 1) / (N + V + 1)
 
@@ -17,6 +15,12 @@ Training counts go through one shuffle in packed form: a task sorts and counts t
 each range of hashes as one block of bytes.  The number of ranges follows the corpus, so a range stays small, and the filter is cut
 by the same ranges.
 
+A filter of words or of pairs that ``MAX_BITS`` has room for is sent to every worker.  A larger one stays a table with a
+row for each range, and workers get what it reads for its most frequent n-grams (``HOT`` words or ``HOT_PAIRS`` pairs at
+most).  A task asks the ranges for all others, each different one once for ``LATE_TOKENS`` tokens that wait for it, and
+the waiting tokens are scored when the answers have come back to them.  Both ways read the same filter, so the scores do
+not depend on the room.
+
 The base model needs exact counts of all words.  The ``HOT`` most frequent words at most are sent to all tasks; the
 occurrences of all others, summed for each document, are joined with the table of words.
 
@@ -29,6 +33,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -38,6 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from treeledger.llm.common import stored
 from treeledger.llm.hashing import mix, seeds, slices, word_hashes
@@ -48,6 +54,8 @@ STEP = 1.1  # of the geometric part of the scale
 BITS, PROBES = 12, 5
 MAX_BITS = 1 << 28
 HOT = 1 << 20
+HOT_PAIRS = 1 << 22
+LATE_TOKENS = 500_000  # tokens that wait for answers together
 RANGE_TOKENS = 1 << 20  # tokens a range of hashes is meant for
 CHUNK_BYTES = 1 << 20
 COUNT_TOKENS = 2_000_000  # tokens that a task counts at once
@@ -88,13 +96,25 @@ def kept_bits(hashes: np.ndarray, range_bits: int, width: int) -> np.ndarray:
     return hashes if drop <= 0 else hashes >> np.uint64(drop) << np.uint64(drop)
 
 
+def _cut(hashes: np.ndarray, range_bits: int, width: int) -> np.ndarray:
+    """The ``width`` bytes of each hash behind its range, or all 8."""
+    short = (hashes << np.uint64(range_bits)) if width < 8 else hashes
+    return short.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def _uncut(block: bytes, place: int, range_bits: int, width: int) -> np.ndarray:
+    raw = np.zeros((len(block) // width, 8), dtype=np.uint8)
+    raw[:, :width] = np.frombuffer(block, dtype=np.uint8).reshape(-1, width)
+    short = raw.view(">u8").ravel().astype(np.uint64)
+    return short >> np.uint64(range_bits) | np.uint64(place << (64 - range_bits)) if width < 8 else short
+
+
 def packed(hashes: np.ndarray, counts: np.ndarray, range_bits: int, width: int) -> Iterator[tuple[int, bytes]]:
     """Blocks by range of sorted different hashes: those counted once, then the others with their counts."""
     places = np.arange((1 << range_bits) + 1, dtype=object) << (64 - range_bits)
     limits = np.searchsorted(hashes, np.array(places[1:-1], dtype=np.uint64))
     limits = np.concatenate([[0], limits, [len(hashes)]])
-    short = (hashes << np.uint64(range_bits)) if width < 8 else hashes
-    raw = short.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    raw = _cut(hashes, range_bits, width)
     for i in range(1 << range_bits):
         a, b = limits[i], limits[i + 1]
         if a < b:
@@ -135,6 +155,7 @@ def _chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, list
 
 BLOCKS = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("block", T.BinaryType())])
 COUNTS = T.StructType([T.StructField("hash", T.LongType()), T.StructField("n", T.LongType())])
+HELD = [T.StructField("hot_hashes", T.BinaryType()), T.StructField("hot_levels", T.BinaryType())]
 MERGED = T.StructType(
     [
         T.StructField("range", T.IntegerType()),
@@ -148,6 +169,7 @@ SHARDS = T.StructType(
         T.StructField("range", T.IntegerType()),
         T.StructField("size", T.LongType()),
         T.StructField("bits", T.BinaryType()),
+        *HELD,
     ]
 )
 
@@ -239,28 +261,49 @@ def merged_blocks(blocks: DataFrame, range_bits: int, width: int, least: int) ->
     return blocks.groupBy("range").applyInPandas(run, MERGED)
 
 
-def shards_of_merged(merged: DataFrame, least: int) -> DataFrame:
+def hot_class(sizes: dict[int, int], room: int) -> int:
+    """The least size class from which no more than ``room`` n-grams are left."""
+    least = max(sizes, default=0) + 1
+    for b in sorted(sizes, reverse=True):
+        room -= sizes[b]
+        if room < 0:
+            break
+        least = b
+    return least
+
+
+def _range_row(place: int, hashes: np.ndarray, counts: np.ndarray, range_bits: int, width: int, least: int, hot: int) -> tuple:
+    """The filter of one range, and what it reads for the n-grams from size class ``hot`` on."""
+    size, bits = shard(hashes, counts, least)
+    often = np.sort(hashes[size_class(counts) >= hot])
+    read = Filter.of_range(place, size, bits, range_bits, width, least).level(often)
+    return int(place), size, bits, often.tobytes(), read.astype(np.int16).tobytes()
+
+
+def shards_of_merged(merged: DataFrame, range_bits: int, least: int, hot: int) -> DataFrame:
     """The filter of each range of merged n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 place, hashes, counts = (batch.column(i)[row].as_py() for i in range(3))
-                found = shard(np.frombuffer(hashes, dtype=np.uint64), np.frombuffer(counts, dtype=np.int64), least)
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((place, *found), KINDS)], SHARDS.names)
+                hashes, counts = np.frombuffer(hashes, dtype=np.uint64), np.frombuffer(counts, dtype=np.int64)
+                found = _range_row(place, hashes, counts, range_bits, PAIR_BYTES, least, hot)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(found, KINDS)], SHARDS.names)
 
     return merged.select("range", "hashes", "counts").mapInArrow(run, SHARDS)
 
 
-KINDS = (pa.int32(), pa.int64(), pa.binary())
+KINDS = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
 
 
-def shards_of_words(words: DataFrame, range_bits: int, least: int) -> DataFrame:
+def shards_of_words(words: DataFrame, range_bits: int, least: int, hot: int) -> DataFrame:
     """The filter of each range of a table of words."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        size, bits = shard(rows["hash"].to_numpy().astype(np.uint64), rows["n"].to_numpy(), least)
-        return pd.DataFrame({"range": [key[0]], "size": [size], "bits": [bits]})
+        hashes, counts = rows["hash"].to_numpy().astype(np.uint64), rows["n"].to_numpy()
+        found = _range_row(int(key[0]), hashes, counts, range_bits, WORD_BYTES, least, hot)
+        return pd.DataFrame({f: [x] for f, x in zip(SHARDS.names, found)})
 
     place = F.shiftrightunsigned("hash", 64 - range_bits).cast("int")
     return words.where(F.col("n") >= least).withColumn("range", place).groupBy("range").applyInPandas(run, SHARDS)
@@ -276,6 +319,13 @@ class Filter:
     sizes: np.ndarray
     offsets: np.ndarray
     bits: np.ndarray
+    first: int = 0  # range that the sizes begin with
+
+    @classmethod
+    def of_range(cls, place: int, size: int, bits: bytes, range_bits: int, width: int, least: int) -> Filter:
+        """For hashes of this range only."""
+        sizes, offsets = np.array([size], dtype=np.int64), np.zeros(1, dtype=np.int64)
+        return cls(range_bits, width, least, sizes, offsets, np.frombuffer(bits, dtype=np.uint8), place)
 
     @classmethod
     def of(cls, rows: list, range_bits: int, width: int, least: int) -> Filter:
@@ -300,7 +350,7 @@ class Filter:
         level = 0
         while left.size and level < most:
             key, apart = _entry(hashes[left], level)
-            place = (hashes[left] >> np.uint64(64 - self.range_bits)).astype(np.int64)
+            place = (hashes[left] >> np.uint64(64 - self.range_bits)).astype(np.int64) - self.first
             size, offset = self.sizes[place].astype(np.uint64), self.offsets[place]
             for probe in range(PROBES):
                 at = (key % size).astype(np.int64)
@@ -314,6 +364,35 @@ class Filter:
         return out
 
 
+@dataclass
+class Hot:
+    """What a filter in ranges reads for its most frequent n-grams."""
+
+    range_bits: int
+    width: int
+    least: int
+    hashes: np.ndarray  # sorted
+    levels: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list, range_bits: int, width: int, least: int) -> Hot:
+        hashes = np.frombuffer(b"".join(bytes(r["hot_hashes"]) for r in rows), dtype=np.uint64)
+        read = np.frombuffer(b"".join(bytes(r["hot_levels"]) for r in rows), dtype=np.int16)
+        order = np.argsort(hashes)
+        return cls(range_bits, width, least, hashes[order], read[order])
+
+    def level(self, hashes: np.ndarray) -> np.ndarray:
+        """As ``Filter.level``, and ``OPEN`` for n-grams that their range has to be asked for."""
+        hashes = kept_bits(hashes, self.range_bits, self.width)
+        if not len(self.hashes):
+            return np.full(len(hashes), OPEN, dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.levels[at], OPEN).astype(np.int64)
+
+
+OPEN = -1
+
+
 class Memory:
     """Levels of frequent words that a worker has probed for, so that it does so once and not in every chunk."""
 
@@ -343,16 +422,17 @@ class Memory:
 
 @dataclass
 class Model:
-    words: Filter
-    pairs: Filter
+    words: Filter | Hot
+    pairs: Filter | Hot
     hot: np.ndarray  # hashes of the most frequent words, sorted
     hot_counts: np.ndarray
     n: int  # training tokens
     v: int  # different training tokens
     table: DataFrame | None  # all words with their counts
+    ranges: DataFrame | None = None  # filters that stay tables, by kind and range
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"table": None}
+        return self.__dict__ | {"table": None, "ranges": None}
 
 
 def train(texts: DataFrame) -> Model:
@@ -364,51 +444,175 @@ def train(texts: DataFrame) -> Model:
     by_size = words.groupBy(bucket.alias("b")).agg(F.count("*").alias("k"), F.sum("n").alias("s"))
     kinds = {r["b"]: (r["k"], r["s"]) for r in by_size.collect()}  # at most 8 * 63 rows
     n, v = sum(s for _, s in kinds.values()), sum(k for k, _ in kinds.values())
-    least, room = max(kinds, default=0) + 1, HOT
-    for b in sorted(kinds, reverse=True):
-        room -= kinds[b][0]
-        if room < 0:
-            break
-        least = b
+    word_sizes = {b: k for b, (k, _) in kinds.items()}
+    least = hot_class(word_sizes, HOT)
     hot = words.where(bucket >= least).toArrow()  # at most HOT rows
     hashes = hot["hash"].to_numpy().astype(np.uint64)
     order = np.argsort(hashes)
     blocks = counted_blocks(texts, range_bits, True)
     pairs = stored(merged_blocks(blocks, range_bits, PAIR_BYTES, PAIR_COUNT), "lm-pairs")
     by_class = pairs.select(F.posexplode("sizes").alias("b", "k")).groupBy("b").agg(F.sum("k").alias("k"))
-    least_word = least_count({b: k for b, (k, _) in kinds.items()}, 1)
-    least_pair = least_count({r["b"]: r["k"] for r in by_class.where("k > 0").collect()}, PAIR_COUNT)
+    pair_sizes = {r["b"]: r["k"] for r in by_class.where("k > 0").collect()}
+    ranges: list[DataFrame] = []
+
+    def held(kind: int, sizes: dict[int, int], least: int, width: int, room: int) -> Filter | Hot:
+        fits = least_count(sizes, least) == least
+        hot = max(sizes, default=0) + 1 if fits else hot_class(sizes, room)
+        if kind == WORDS:
+            shards = shards_of_words(words, range_bits, least, hot)
+        else:
+            shards = shards_of_merged(pairs, range_bits, least, hot)
+        if fits:
+            return Filter.of(shards.select("range", "size", "bits").collect(), range_bits, width, least)
+        shards = stored(shards, "lm-filter")
+        ranges.append(shards.select(F.lit(kind).alias("kind"), "range", "size", "bits"))
+        return Hot.of(shards.select("hot_hashes", "hot_levels").collect(), range_bits, width, least)
+
     return Model(
-        Filter.of(shards_of_words(words, range_bits, least_word).collect(), range_bits, WORD_BYTES, least_word),
-        Filter.of(shards_of_merged(pairs, least_pair).collect(), range_bits, PAIR_BYTES, least_pair),
+        held(WORDS, word_sizes, 1, WORD_BYTES, HOT),
+        held(PAIRS, pair_sizes, PAIR_COUNT, PAIR_BYTES, HOT_PAIRS),
         hashes[order],
         hot["n"].to_numpy()[order],
         int(n),
         int(v),
         words,
+        reduce(DataFrame.unionAll, ranges) if ranges else None,
     )
 
 
 _LATEST: list[Memory] = []
 
 
-def log_probabilities(model: Model, memory: Memory, after: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """log10 of the smoothed probability of each token after the one before it, all from membership probes."""
-    scale = np.concatenate([[0], levels(model.words.least)])
+def token_levels(model: Model, memory: Memory | Hot, after: np.ndarray, before: np.ndarray) -> list[np.ndarray]:
+    """Levels of each token, of the one before it and of both together."""
     words, place = np.unique(after, return_inverse=True)
     level = memory.level(words)
-    single = ((scale[level] + 1) / (model.n + model.v + 1))[place]
     # The token before is the last one, or the beginning of a text; texts begin as often as they end.
     end = level[np.searchsorted(words, END)]
     context = np.concatenate([[end], level[place[:-1]]])
     context[before == BEGIN] = end
-    above = np.maximum(np.concatenate([scale[1:], scale[-1:]])[context] - 1, 1)
     pairs, where = np.unique(pair_hashes(before, after), return_inverse=True)
-    together = np.concatenate([[0], levels(model.pairs.least)])[model.pairs.level(pairs)][where]
+    return [level[place], context, model.pairs.level(pairs)[where]]
+
+
+def smoothed(n: int, word: np.ndarray, context: np.ndarray, pair: np.ndarray, least_word: int, least_pair: int) -> np.ndarray:
+    """log10 of the smoothed probabilities from levels; ``n`` is N + V + 1."""
+    scale = np.concatenate([[0], levels(least_word)])
+    single = (scale[word] + 1) / n
+    above = np.maximum(np.concatenate([scale[1:], scale[-1:]])[context] - 1, 1)
+    together = np.concatenate([[0], levels(least_pair)])[pair]
     share = np.minimum(together / above, 1.0)
     return np.log10(LAMBDA * share + (1 - LAMBDA) * single)
 
 
+def log_probabilities(model: Model, memory: Memory | Hot, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """log10 of the smoothed probability of each token after the one before it, all from membership probes."""
+    found = token_levels(model, memory, after, before)
+    return smoothed(model.n + model.v + 1, *found, model.words.least, model.pairs.least)
+
+
+WORDS, PAIRS, TOKENS = 1, 2, 3
+LATE = [
+    T.StructField("_kind", T.IntegerType()),  # none in rows of documents
+    T.StructField("_batch", T.LongType()),
+    T.StructField("_range", T.IntegerType()),
+    T.StructField("_block", T.BinaryType()),
+]
+
+
+class Late:
+    """Tokens that wait for the levels of n-grams that are open."""
+
+    def __init__(self, model: Model, batch: int):
+        self.range_bits, self.width = model.pairs.range_bits, model.pairs.width
+        self.batch = batch
+        self.clear()
+
+    def clear(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, rows: np.ndarray, after: np.ndarray, before: np.ndarray, found: list[np.ndarray]) -> None:
+        self.parts.append((rows, after, before, *(x.astype(np.int16) for x in found)))
+        self.size += len(rows)
+
+    def blocks(self) -> Iterator[tuple[int, int, int | None, bytes]]:
+        """What the ranges are asked, each different n-gram once, and the tokens with the numbers of their questions."""
+        rows, after, before, word, context, pair = (np.concatenate(x) for x in zip(*self.parts))
+        self.clear()
+        pairs = pair_hashes(before, after)
+        _, first, where = np.unique(pairs, return_index=True, return_inverse=True)
+        after, before = after[first], np.where(before[first] == BEGIN, END, before[first])
+        word, context, pair = word[first], context[first], pair[first]
+        open_words = np.concatenate([after[word == OPEN], before[context == OPEN]])
+        words, named = np.unique(open_words, return_inverse=True)
+        asked = kept_bits(pairs[first][pair == OPEN], self.range_bits, self.width)
+        for kind, hashes, width in ((WORDS, words, WORD_BYTES), (PAIRS, asked, self.width)):
+            ranges = (hashes >> np.uint64(64 - self.range_bits)).astype(np.int64)
+            starts = np.flatnonzero(np.diff(ranges, prepend=-1))
+            raw = _cut(hashes, self.range_bits, width)
+            for a, b in zip(starts, np.append(starts[1:], len(hashes))):
+                yield kind, self.batch, int(ranges[a]), raw[a:b].tobytes()
+        docs, counts = np.unique(rows, return_counts=True)
+        head = np.array([docs[0], len(docs), len(rows), len(word), len(named)], dtype=np.int64)
+        parts = (head, (docs - docs[0]).astype(np.int32), counts.astype(np.int32), where.astype(np.int32), named.astype(np.int32))
+        body = b"".join(x.tobytes() for x in (*parts, word, context, pair))
+        size = np.array([len(body)], dtype=np.int64).tobytes()
+        yield TOKENS, self.batch, None, size + pa.compress(body, "zstd", asbytes=True)
+        self.batch += 1
+
+
+ANSWERS = T.StructType([LATE[1], *[T.StructField(n, t) for n, t in (("_kind", T.IntegerType()), ("_range", T.IntegerType()))], LATE[3]])
+LATE_SUMS = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_late", T.DoubleType())])
+
+
+def answered(asked: DataFrame, model: Model) -> DataFrame:
+    """The levels that the range of each block of n-grams reads for it, in the same order."""
+    about = {k: (p.range_bits, p.width, p.least) for k, p in ((WORDS, model.words), (PAIRS, model.pairs))}
+
+    def run(key: tuple, shards: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
+        kind, place = int(key[0]), int(key[1])
+        if not len(blocks):
+            return pd.DataFrame({f: [] for f in ANSWERS.names})
+        size, bits = (int(shards["size"][0]), shards["bits"][0]) if len(shards) else (64, bytes(8))
+        width = about[kind][1]
+        hashes, where = np.unique(_uncut(b"".join(blocks["_block"]), place, about[kind][0], width), return_inverse=True)
+        read = Filter.of_range(place, size, bits, *about[kind]).level(hashes)[where].astype(np.int16)
+        ends = np.cumsum([len(b) // width for b in blocks["_block"]])[:-1]
+        made = [x.tobytes() for x in np.split(read, ends)]
+        return pd.DataFrame({"_batch": blocks["_batch"], "_kind": kind, "_range": place, "_block": made})
+
+    return model.ranges.groupBy("kind", "range").cogroup(asked.groupBy("_kind", "_range")).applyInPandas(run, ANSWERS)
+
+
+def late_scores(rows: DataFrame, model: Model) -> DataFrame:
+    """The sum of the log probabilities of the tokens of each document that had to wait."""
+    n, least_word, least_pair = model.n + model.v + 1, model.words.least, model.pairs.least
+
+    def run(key: tuple, waiting: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        answers = answers.sort_values(["_kind", "_range"])
+        told = {
+            k: np.frombuffer(b"".join(answers["_block"][answers["_kind"] == k]), dtype=np.int16).astype(np.int64)
+            for k in (WORDS, PAIRS)
+        }
+        block = waiting["_block"][0]
+        body = pa.decompress(block[8:], int(np.frombuffer(block, dtype=np.int64, count=1)[0]), "zstd", asbytes=True)
+        start, n_docs, n_tokens, n_pairs, n_named = np.frombuffer(body, dtype=np.int64, count=5)
+        numbers = np.frombuffer(body, dtype=np.int32, offset=40, count=2 * n_docs + n_tokens + n_named)
+        docs, counts, where, named = np.split(numbers, np.cumsum([n_docs, n_docs, n_tokens]))
+        read = np.frombuffer(body, dtype=np.int16, offset=40 + 4 * len(numbers)).astype(np.int64).reshape(3, n_pairs)
+        word, context, pair = read
+        both = read[:2].ravel()  # words, then those before
+        both[both == OPEN] = told[WORDS][named]
+        pair[pair == OPEN] = told[PAIRS]
+        logs = smoothed(n, word, context, pair, least_word, least_pair)
+        return pd.DataFrame({"_row": docs + start, "_late": _sums(logs[where], counts)})
+
+    asked = rows.where(F.col("_kind").isin(WORDS, PAIRS)).select("_kind", "_batch", "_range", "_block")
+    waiting = rows.where(F.col("_kind") == TOKENS).select("_batch", "_block")
+    return waiting.groupBy("_batch").cogroup(answered(asked, model).groupBy("_batch")).applyInPandas(run, LATE_SUMS)
+
+
 REST = T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("n", T.LongType())]))
 SCORED = [
     T.StructField("_row", T.LongType()),
@@ -427,20 +631,36 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add the number of tokens and of known ones, the scores of the base model and of the smoothed model."""
     fields = [f for f in docs.schema.fields if f.name != text]
-    names = [f.name for f in fields] + [f.name for f in SCORED]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + SCORED + LATE)
+    names, types = schema.names, to_arrow_schema(schema).types
     column = docs.columns.index(text)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = held.value
-        if not _LATEST or _LATEST[0].of is not m.words:
-            _LATEST[:] = [Memory(m.words)]  # kept from one task to the next
-        memory = _LATEST[0]
-        row = TaskContext.get().partitionId() << 40  # rows are numbered once and stored
+        memory: Memory | Hot = m.words
+        if isinstance(m.words, Filter):
+            if not _LATEST or _LATEST[0].of is not m.words:
+                _LATEST[:] = [Memory(m.words)]  # kept from one task to the next
+            memory = _LATEST[0]
+        row = TaskContext.get().partitionId() << 40  # rows and batches are numbered once and stored
+        late = Late(m, row)
+
+        def send() -> Iterator[pa.RecordBatch]:
+            for block in late.blocks():
+                made = [pa.nulls(1, t) for t in types[: -len(LATE)]] + [pa.array([x], t) for x, t in zip(block, types[-len(LATE) :])]
+                yield pa.RecordBatch.from_arrays(made, names)
+
         for batch in batches:
             for a, b, chunk in _chunks(batch, column):
                 after, before, counts = tokens(chunk)
-                logs = log_probabilities(m, memory, after, before)
+                found = token_levels(m, memory, after, before)
+                logs = smoothed(m.n + m.v + 1, *found, m.words.least, m.pairs.least)
+                waits = np.minimum.reduce(found) == OPEN
+                if waits.any():
+                    logs[waits] = 0
+                    owners = np.repeat(np.arange(row, row + len(counts)), counts)
+                    late.add(owners[waits], after[waits], before[waits], [x[waits] for x in found])
                 at = np.minimum(np.searchsorted(m.hot, after), max(len(m.hot) - 1, 0))
                 is_hot = m.hot[at] == after if len(m.hot) else np.zeros(len(after), dtype=bool)
                 count = np.where(is_hot, m.hot_counts[at], 0) if len(m.hot) else np.zeros(len(after))
@@ -466,13 +686,19 @@ def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 ]
                 row += len(counts)
                 part = batch.slice(a, b - a)
+                made += [pa.nulls(len(counts), t) for t in types[-len(LATE) :]]
                 yield pa.RecordBatch.from_arrays([part.column(f.name) for f in fields] + made, names)
+                if late.size >= LATE_TOKENS:
+                    yield from send()
+        if late.size:
+            yield from send()
 
-    return _with_base(stored(docs.mapInArrow(run, T.StructType(fields + SCORED)), "lm-scored"), model)
+    rows = stored(docs.mapInArrow(run, schema), "lm-scored")
+    return _with_base(rows.where(F.col("_kind").isNull()), model, late_scores(rows, model) if model.ranges is not None else None)
 
 
-def _with_base(rows: DataFrame, model: Model) -> DataFrame:
-    """Complete the figures of the base model with the words that are not hot."""
+def _with_base(rows: DataFrame, model: Model, late: DataFrame | None) -> DataFrame:
+    """Complete the figures of the base model with the words that are not hot, and the score with what came late."""
     known = model.table.select(F.col("hash").alias("_hash"), F.col("n").alias("_count"))
     rest = rows.select("_row", F.explode("rest").alias("r")).select("_row", F.col("r.hash").alias("h"), F.col("r.n").alias("k"))
     found = rest.join(known, F.col("h") == F.col("_hash")).groupBy("_row").agg(
@@ -481,12 +707,17 @@ def _with_base(rows: DataFrame, model: Model) -> DataFrame:
     plus: Column = F.coalesce("_logs", F.lit(0.0))
     base = F.col("hot_logs") + plus - F.col("n_tokens") * math.log10(model.n + model.v + 1)
     joined = rows.join(found.withColumnRenamed("_row", "_r"), F.col("_row") == F.col("_r"), "left")
-    own = [c for c in rows.columns if c not in {f.name for f in SCORED}]
+    score = F.col("score")
+    if late is not None:
+        late = late.groupBy(F.col("_row").alias("_l")).agg(F.sum("_late").alias("_late"))
+        joined = joined.join(late, F.col("_row") == F.col("_l"), "left")
+        score = (score + F.coalesce("_late", F.lit(0.0))).alias("score")
+    own = [c for c in rows.columns if c not in {f.name for f in SCORED + LATE}]
     return joined.select(
         *own,
         "n_tokens",
         (F.col("hot_known") + F.coalesce("_known", F.lit(0))).alias("n_known"),
         F.lit(model.n).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        score,
     )
