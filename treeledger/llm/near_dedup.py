@@ -2,9 +2,9 @@
 
 A document is the set of its word shingles.  ``COORDINATES`` coordinates, each made of two minimum hashes, are its
 signature; two sets of similarity s agree in one with probability s².  Documents are posted under every pair of
-coordinate and value, and pairs that collide in ``MATCHES`` coordinates or more are compared on their full sets.  By
-pigeonhole such a pair meets in one of the first ``COORDINATES - MATCHES + 1`` lists, so only these bring up candidates
-and the others only count.  At the similarity limit of 0.8 a pair misses the match threshold with probability below 1e-6.
+coordinate and value, and pairs that collide in ``MATCHES`` coordinates or more are compared on their full sets.  All
+lists bring up candidates; prefix merging, where only the first ``PREFIX`` lists would, is left out: the test on the first
+common list holds for every such pair and removes none.  At the similarity limit of 0.8 a pair misses the match threshold with probability below 1e-6.
 
 Sets that are equal are one representative throughout, so exact copies cost one row.  Lists of more than ``LONG`` different
 sets would bring up a square of pairs and are skipped in that merge; they are worked off without listing pairs: some of
