@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeledger.llm import ann, bpe, language_model, mixing, near_dedup, pii, quality, token_counts, toxicity, warc
+from treeledger.llm import (
+    ann,
+    bpe,
+    language_model,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    spelling,
+    token_counts,
+    toxicity,
+    warc,
+)
 from treeledger.llm.common import remainder_of_id, table
 from treeledger.session import scratch_path
 
@@ -140,3 +152,9 @@ links as (select a, b from pairs union all select b, a from pairs),
 reach as (select doc_id, doc_id as r from n union select reach.doc_id, links.b from reach join links on reach.r = links.a)
 select n.doc_id, n.n as n_shingles, min(r) as component_id, n.doc_id = min(r) as kept
 from n join reach on reach.doc_id = n.doc_id group by n.doc_id, n.n"""
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of every frequent word of all documents, with their most frequent form and root."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
