@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeledger.llm import (
+    alignment,
     ann,
     bpe,
     language_model,
@@ -158,3 +159,15 @@ from n join reach on reach.doc_id = n.doc_id group by n.doc_id, n.n"""
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants of every frequent word of all documents, with their most frequent form and root."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the byte-level and the piece tokenizer over every document, with corpus-wide pair counts."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    found = alignment.alignment(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
