@@ -11,6 +11,7 @@ from treeledger.llm import (
     alignment,
     ann,
     bpe,
+    html_text,
     language_model,
     mixing,
     near_dedup,
@@ -171,3 +172,9 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     )
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by block rules over the whole html."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
