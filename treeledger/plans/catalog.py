@@ -17,7 +17,7 @@ from treeledger.plans.standins import Views
 from treeledger.schema import ELEMENT_FIELDS, PLOT_FIELDS, PLOT_PROJECT_FIELDS, VISIT_ORDER
 from treeledger.session import scratch_path
 from treeledger.sources import sheets, sinks, tables
-from treeledger.streaming import incremental
+from treeledger.streaming import incremental, ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 MASTER_ORDER = ["ord"]
@@ -697,6 +697,32 @@ def incremental_errors(v: Views) -> DataFrame:
     return incremental.read_errors(v.spark, _arrivals(v, odd=True)).select("kind", "folder_name", "file_name")
 
 
+def _ledger_arrivals(v: Views, odd: bool = False) -> str:
+    """The same two waves, each one run kept by the ledger of files in place of a stream's checkpoint."""
+    root, store = scratch(v, "arrivals"), scratch(v, "store")
+    incremental.create_store(v.design_elements, store)
+    plots = sinks.handoff(v.plot_projects, scratch(v, "plots"))
+    early = F.substring("folder_name", 1, 1) < "C"
+    for wave in (v.workbook_rows.where(early), v.workbook_rows.where(~early)):
+        packed(v, wave, root)
+        if odd:
+            workbooks.write_files(v.odd_files, root)
+        ledger.run(v.spark, root, store, plots)
+    return store
+
+
+@query
+def ledger_extract(v: Views) -> DataFrame:
+    """New elements of two runs kept by the ledger of files."""
+    return incremental.read_store(v.spark, _ledger_arrivals(v)).where("batch_id >= 0").select(*ELEMENT_FIELDS)
+
+
+@query
+def ledger_errors(v: Views) -> DataFrame:
+    """What runs kept by the ledger could not use, with unreadable files, hidden names and hidden folders."""
+    return incremental.read_errors(v.spark, _ledger_arrivals(v, odd=True)).select("kind", "folder_name", "file_name")
+
+
 @query
 def append_then_dedupe(v: Views) -> DataFrame:
     """Two appends with the keys that the master has; the rows of the last one survive."""

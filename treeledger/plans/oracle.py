@@ -383,5 +383,10 @@ def _for_workbooks() -> dict[str, str]:
     return {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
 
 
-OVER_WORKBOOKS = {"extract_workbooks", "workbook_run_stats", "workbook_run_status", "incremental_extract", "incremental_errors", "workbook_errors"}
+BODIES["ledger_extract"] = BODIES["incremental_extract"]
+BODIES["ledger_errors"] = BODIES["incremental_errors"]
+OVER_WORKBOOKS = {
+    "extract_workbooks", "workbook_run_stats", "workbook_run_status", "incremental_extract", "incremental_errors",
+    "workbook_errors", "ledger_extract", "ledger_errors",
+}
 ORACLES = {name: complete(body, _for_workbooks() if name in OVER_WORKBOOKS else VIEWS) for name, body in BODIES.items()}

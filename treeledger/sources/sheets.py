@@ -102,7 +102,7 @@ def with_names(files: DataFrame, root: str) -> DataFrame:
     depth = len([part for part in plain.split("/") if part]) + 2
     folder, name = path_parts("path")
     inside = files.where(F.col("path").rlike(rf"^(?:[A-Za-z][\w+.-]*:)?(?://[^/]*)?(?:/+[^/]+){{{depth}}}\z"))
-    return inside.select("path", "length", "content", folder.alias("folder_name"), name.alias("file_name"))
+    return inside.select("path", "modificationTime", "length", "content", folder.alias("folder_name"), name.alias("file_name"))
 
 
 def _local(tag: str) -> str:

@@ -120,10 +120,10 @@ def file_stream(
     )
 
 
-def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function."""
+def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) -> Callable[[DataFrame, int], int]:
+    """The ``foreachBatch`` function; it returns the number that the store gave the batch."""
 
-    def run(batch: DataFrame, _: int) -> None:
+    def run(batch: DataFrame, _: int) -> int:
         spark = batch.sparkSession
         number = _next_batch(spark, store_path)
         files = batch.select("folder_name", "file_name")
@@ -141,6 +141,7 @@ def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) ->
         errors.write.mode("append").parquet(errors_of(store_path))
         new = extract_located(inputs, allow_duplicates).join(master.select("ID"), "ID", "left_anti")
         _write(to_store(new, number), store_path, "append")
+        return number
 
     return run
 
