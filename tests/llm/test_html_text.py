@@ -38,7 +38,10 @@ def pages(spark):
     return spark.createDataFrame([(*p, "x", 0) for p in data], "page_id long, url string, html string, text string, rid long")
 
 
-def test_fixed_cases(spark, pages):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_fixed_cases(spark, pages, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(H, "MAX_STOP_WORDS", 0)
     got = {(r.page_id, r.url): r for r in H.main_text(pages).collect()}
     assert H.main_text(pages).count() == 7
     first = got[(1, "http://a")].text
@@ -124,7 +127,11 @@ def plain(pages):
     return sorted(out, key=repr)
 
 
-def test_query_matches_plain_version(spark, sf_dir):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_query_matches_plain_version(spark, sf_dir, monkeypatch, broadcast):
+    """With the stop words sent to every task, and with the shuffle and windows that a longer list takes."""
+    if not broadcast:
+        monkeypatch.setattr(H, "MAX_STOP_WORDS", 0)
     got = rows(QUERIES["op12_html_text"](spark, sf_dir), "page_id", "text", "n_chars")
     pages = [(r["page_id"], r["html"]) for r in pq.read_table(f"{sf_dir}/pages.parquet").to_pylist()]
     assert got == plain(pages)

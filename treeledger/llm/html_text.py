@@ -4,7 +4,7 @@ A page is cut into blocks at block-level tags.  Per-row Python only parses: a sm
 text (character references decoded, white space made one space, trimmed), its length, the characters inside links,
 whether it is a heading, and whether it lies inside an element that is not the article by its tag or by its class, id
 or role (menus, headers, footers, sidebars, notices, adverts, forms, comments).  Scripts, styles, the head and markup
-never reach a block.  Everything else is Spark:
+never reach a block.  The corpus statistics are Spark aggregates; the passes run per page (see :func:`main_text`):
 
 * Words are runs of letters in lower case; stop words are the most frequent words of each page language over
   all blocks of all pages that together make ``STOP_SHARE`` of its words (see :func:`stop_words`).
@@ -14,8 +14,7 @@ never reach a block.  Everything else is Spark:
   ``main`` element (or role main) the stop-word rules lean one step to the article: near-good becomes good and bad
   (by stop words alone) near-good.  A short or near-good heading
   followed by a good block within ``HEADING_DISTANCE`` characters becomes near-good.
-* Pass two decides the others from the nearest decided (good or bad) blocks before and after it, found with windows
-  over the page's blocks: near-good is bad only if both are bad; short takes the label that both give, or the one
+* Pass two decides the others from the nearest decided (good or bad) blocks before and after it: near-good is bad only if both are bad; short takes the label that both give, or the one
   that there is, or, where they differ, that of the nearer (the one before on a tie); without either, it is good
   inside an article and bad elsewhere.
 * Good blocks are joined in page order by one newline.
@@ -33,6 +32,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +65,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 WHITE = re.compile(r"\s+")  # Unicode white space, no-break space included
 WORD = "\\p{L}+"
+LETTERS = regex.compile(r"\p{L}+")
+MAX_STOP_WORDS = 200_000  # stop words sent to every task at most, about 10 MB
 
 BLOCK = "idx int, text string, n_chars int, link_chars int, heading boolean, outside boolean, main boolean"
 FIELDS = [f.split()[0] for f in BLOCK.split(", ")]
@@ -205,13 +207,13 @@ def stop_words(blocks: DataFrame) -> DataFrame:
     return counted.join(cut, "lang").where(F.col("b") >= F.col("cut")).select("lang", "word")
 
 
-def classified(blocks: DataFrame) -> DataFrame:
+def classified(blocks: DataFrame, stop_list: DataFrame) -> DataFrame:
     """Blocks with the label of pass one, ``first``: good, near, short or bad."""
     words = blocks.select("rid", "idx", "lang", F.explode(_words("text")).alias("word"))
     # Words are counted in each block before the join; a very common word is spread over SALT parts of the list.
     per_block = words.groupBy("rid", "idx", "lang", "word").agg(F.count(F.lit(1)).alias("k"))
     per_block = per_block.withColumn("salt", F.pmod(F.xxhash64("rid", "idx"), F.lit(SALT)))
-    stops = stop_words(blocks).select("lang", "word", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+    stops = stop_list.select("lang", "word", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     marked = per_block.join(stops.withColumn("stop", F.lit(True)), ["lang", "word", "salt"], "left")
     density = marked.groupBy("rid", "idx").agg(
         (F.sum(F.when(F.col("stop"), F.col("k")).otherwise(0)) / F.sum("k")).alias("stop_density")
@@ -228,9 +230,9 @@ def classified(blocks: DataFrame) -> DataFrame:
     return scored.withColumn("first", first)
 
 
-def labelled(blocks: DataFrame) -> DataFrame:
+def labelled(blocks: DataFrame, stop_list: DataFrame) -> DataFrame:
     """Blocks of the article with their final ``label``; blocks outside it are left out."""
-    inside = classified(blocks.where(~F.col("outside")))
+    inside = classified(blocks.where(~F.col("outside")), stop_list)
     page = Window.partitionBy("rid").orderBy("idx")
     after = page.rowsBetween(1, Window.unboundedFollowing)
     before = page.rowsBetween(Window.unboundedPreceding, -1)
@@ -258,14 +260,88 @@ def labelled(blocks: DataFrame) -> DataFrame:
     return step.withColumn("prev", prev).withColumn("next", nxt).withColumn("label", label)
 
 
+def decide(lang: str, blocks: list, stops: set[str]) -> str:
+    """The text of one page from its blocks: both passes in order, as :func:`labelled` does with windows."""
+    inside = [b for b in blocks if not b["outside"]]
+    first = []
+    for b in inside:
+        words = LETTERS.findall(b["text"].lower())
+        density = sum(w in stops for w in words) / len(words) if words else 0.0
+        n, links, main = b["n_chars"], b["link_chars"], b["main"]
+        if links / n > MAX_LINK_DENSITY:
+            label = "bad"
+        elif n < LENGTH_LOW:
+            label = "bad" if links else "short"
+        elif density >= STOP_HIGH:
+            label = "good" if main or n > LENGTH_HIGH else "near"
+        elif density >= STOP_LOW:
+            label = "good" if main else "near"
+        else:
+            label = "near" if main else "bad"
+        first.append(label)
+    # A short or near-good heading before a good block that starts close enough.
+    start, next_good = [], [None] * len(inside)
+    at = 0
+    for b in inside:
+        start.append(at)
+        at += b["n_chars"]
+    for i in range(len(inside) - 2, -1, -1):
+        next_good[i] = start[i + 1] if first[i + 1] == "good" else next_good[i + 1]
+    for i, b in enumerate(inside):
+        if b["heading"] and first[i] in ("short", "near") and next_good[i] is not None:
+            if next_good[i] - start[i] - b["n_chars"] <= HEADING_DISTANCE:
+                first[i] = "near"
+    # Nearest decided blocks before and after each block.
+    before, after = [None] * len(inside), [None] * len(inside)
+    for i in range(1, len(inside)):
+        before[i] = (i - 1, first[i - 1]) if first[i - 1] in ("good", "bad") else before[i - 1]
+    for i in range(len(inside) - 2, -1, -1):
+        after[i] = (i + 1, first[i + 1]) if first[i + 1] in ("good", "bad") else after[i + 1]
+    kept = []
+    for i, b in enumerate(inside):
+        label, p, n = first[i], before[i], after[i]
+        if label == "near":
+            label = "bad" if (p is None or p[1] == "bad") and (n is None or n[1] == "bad") else "good"
+        elif label == "short":
+            if p is None and n is None:
+                label = "good" if b["main"] else "bad"
+            elif p is None or n is None:
+                label = (p or n)[1]
+            else:
+                label = p[1] if p[1] == n[1] or i - p[0] <= n[0] - i else n[1]
+        if label == "good":
+            kept.append(b["text"])
+    return "\n".join(kept)
+
+
 def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """``page_id, url, text, n_chars`` for every row of ``pages``."""
+    """``page_id, url, text, n_chars`` for every row of ``pages``.
+
+    The stop words go to every task when there are at most ``MAX_STOP_WORDS`` of them (checked by counting them
+    first); each page is then decided in its own task, nothing is shuffled but the word counts.  A longer list is
+    joined with the words of the blocks by a shuffle, and the passes run as windows over the blocks of a page.
+    """
     rows = parsed(pages, page_id, url, html)
     blocks = rows.select("rid", "lang", F.inline("blocks"))
-    good = labelled(blocks).where(F.col("label") == "good")
-    joined = good.groupBy("rid").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "text"))), lambda b: b["text"]), "\n").alias("text")
-    )
-    out = rows.select("rid", "page_id", "url").join(joined, "rid", "left")
+    stops = stored(stop_words(blocks), "html-stops")
+    if stops.count() > MAX_STOP_WORDS:
+        good = labelled(blocks, stops).where(F.col("label") == "good")
+        joined = good.groupBy("rid").agg(
+            F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("idx", "text"))), lambda b: b["text"]), "\n").alias("text")
+        )
+        out = rows.select("rid", "page_id", "url").join(joined, "rid", "left")
+    else:
+        by_lang: dict[str, set[str]] = {}
+        for r in stops.collect():
+            by_lang.setdefault(r.lang, set()).add(r.word)
+        shared = pages.sparkSession.sparkContext.broadcast(by_lang)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            words = shared.value
+            for batch in batches:
+                texts = [decide(lang, list(bs), words.get(lang, set())) for lang, bs in zip(batch["lang"], batch["blocks"])]
+                yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+
+        out = rows.select("page_id", "url", "lang", "blocks").mapInPandas(run, "page_id long, url string, text string")
     text = F.coalesce(F.col("text"), F.lit(""))
     return out.select("page_id", "url", text.alias("text"), F.char_length(text).cast("long").alias("n_chars"))
