@@ -10,7 +10,8 @@ The method is the pivotal prefix filter for edit distance (Deng, Li, Feng, SIGMO
   changes by at most one.  So if two words are one edit apart, a pivot of one of them is in the prefix of the other at
   the same bigram, a position at most one away and a length at most one away (the word whose last prefix bigram comes
   first in the order is the one whose pivot survives into the other's prefix).  Each pivot asks the index of prefixes
-  at the five (position, length) shifts that an edit allows; each candidate pair is verified by the edit distance.
+  at the five (position, length) shifts that an edit allows, only of words whose last prefix bigram is not before its
+  own word's; each candidate pair is verified by the edit distance.
 
 All steps are joins, windows and aggregates on Spark.  The bigram order is the only table sent whole to every task: the
 alphabet has 26 + 26 + 64 letters, so it holds at most 116 x 116 bigrams, whatever the size of the corpus.
@@ -70,37 +71,42 @@ def pivots_and_prefixes(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranked = grams.join(F.broadcast(bigram_ranks(grams)), "gram")
     by_rank = Window.partitionBy("word").orderBy("rank")
     prefixes = ranked.withColumn("k", F.dense_rank().over(by_rank)).where(F.col("k") <= PREFIX).drop("k")
+    # The rank of the last prefix bigram: a pivot needs to ask only words whose last is not smaller.
+    prefixes = prefixes.withColumn("last", F.max("rank").over(Window.partitionBy("word")))
     # Best first pivot for each second one: least (rank, pos) at least two positions before it.
     before = Window.partitionBy("word").orderBy("pos").rangeBetween(Window.unboundedPreceding, -2)
     paired = prefixes.withColumn("first", F.min(F.struct("rank", "pos", "gram")).over(before)).where("first is not null")
-    best = paired.groupBy("word", "len").agg(
+    best = paired.groupBy("word", "len", "last").agg(
         F.min(F.struct((F.col("first.rank") + F.col("rank")).alias("total"), "pos", "gram", "first")).alias("b")
     )
     pivots = best.select(
         "word",
         "len",
+        "last",
         F.explode(
             F.array(
                 F.struct(F.col("b.gram").alias("gram"), F.col("b.pos").alias("pos")),
                 F.struct(F.col("b.first.gram").alias("gram"), F.col("b.first.pos").alias("pos")),
             )
         ).alias("p"),
-    ).select("word", "len", "p.gram", "p.pos")
-    return pivots, prefixes.select("word", "len", "gram", "pos")
+    ).select("word", "len", "last", "p.gram", "p.pos")
+    return pivots, prefixes.select("word", "len", "last", "gram", "pos")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """``a, b`` with a < b for every two words one inserted, deleted or replaced code point apart."""
     pivots, prefixes = pivots_and_prefixes(words)
     shifts = F.array(*[F.struct(F.lit(p).alias("dp"), F.lit(n).alias("dl")) for p, n in SHIFTS])
-    moved = pivots.select("word", "gram", "pos", "len", F.explode(shifts).alias("s"))
+    moved = pivots.select("word", "gram", "pos", "len", "last", F.explode(shifts).alias("s"))
     asks = moved.select(
         F.col("word").alias("asker"),
+        F.col("last").alias("asker_last"),
         "gram",
         (F.col("pos") + F.col("s.dp")).alias("pos"),
         (F.col("len") + F.col("s.dl")).alias("len"),
     )
-    found = asks.join(prefixes.withColumnRenamed("word", "held"), ["gram", "pos", "len"]).where("asker <> held")
+    held = prefixes.select(F.col("word").alias("held"), F.col("last").alias("held_last"), "gram", "pos", "len")
+    found = asks.join(held, ["gram", "pos", "len"]).where("asker <> held and asker_last <= held_last")
     pairs = found.select(F.least("asker", "held").alias("a"), F.greatest("asker", "held").alias("b")).distinct()
     return pairs.where(F.levenshtein("a", "b", 1) == 1)
 
