@@ -36,6 +36,32 @@ def project_type_matrix(elements: DataFrame) -> DataFrame:
     return elements.groupBy("PROJECT_ID").agg(*_type_counts()).withColumn("n_total", _known_total())
 
 
+def one_pass_counts(elements: DataFrame) -> DataFrame:
+    """Counts by type, by project and by both from one scan: ``PROJECT_ID, TYPE, n, level``.
+
+    A single aggregate over GROUPING SETS; ``level`` is 2 for rows by type, 1 for rows by project and 0 for rows by
+    both.  Each task adds up its own rows for all three sets before one shuffle.
+    """
+    sets = [[F.col("TYPE")], [F.col("PROJECT_ID")], [F.col("PROJECT_ID"), F.col("TYPE")]]
+    return elements.groupingSets(sets, "PROJECT_ID", "TYPE").agg(_n().alias("n"), F.grouping_id().alias("level"))
+
+
+def reports_from_counts(counts: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+    """``by_type``, ``by_project`` and ``matrix`` out of :func:`one_pass_counts`; they read only its few rows."""
+    by_type = counts.where("level = 2").select("TYPE", "n")
+    per_project = counts.where("level = 1").select("PROJECT_ID", "n")
+    by_project = per_project.join(labels.select("PROJECT_ID", "PLOT_NAME"), "PROJECT_ID", "left").select(
+        "PROJECT_ID",
+        label("PLOT_NAME", "PROJECT_ID").alias("label"),
+        F.coalesce("PLOT_NAME", F.lit("Unknown")).alias("label_or_unknown"),
+        "n",
+    )
+    both = counts.where("level = 0")
+    kinds = [F.sum(F.when(F.col("TYPE") == k, F.col("n")).otherwise(0)).alias(f"n_{k.lower()}") for k in TYPES]
+    matrix = both.groupBy("PROJECT_ID").agg(*kinds).withColumn("n_total", _known_total())
+    return {"by_type": by_type, "by_project": by_project, "matrix": matrix}
+
+
 def labelled_projects(elements: DataFrame, labels: DataFrame) -> DataFrame:
     """Number of elements per project with a display name from ``labels`` (PROJECT_ID, PLOT_NAME)."""
     counts = count_by(elements, "PROJECT_ID")

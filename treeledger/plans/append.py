@@ -24,12 +24,17 @@ class AppendReport:
     issues: DataFrame
 
 
-def report(new: DataFrame, order: list[str], labels: DataFrame) -> dict[str, DataFrame]:
-    """Counts and checks of new elements.  Pass a written table, since each report reads it."""
+def report(new: DataFrame, order: list[str], labels: DataFrame, work: str | None = None) -> dict[str, DataFrame]:
+    """Counts and checks of new elements.  Pass a written table, since the checks read it.
+
+    Counts by type, by project and by both come from one scan of ``new``; with ``work`` given, that scan is written
+    there once, so the three reports read a table of one row per group.
+    """
+    counts = rollups.one_pass_counts(new)
+    if work is not None:
+        counts = sinks.handoff(counts, work)
     return {
-        "by_type": rollups.count_by(new, "TYPE"),
-        "by_project": rollups.labelled_projects(new, labels),
-        "matrix": rollups.project_type_matrix(new),
+        **rollups.reports_from_counts(counts, labels),
         "blocks": rollups.block_breakdown(new, order),
         "issues": verify.hierarchy_issues(new),
     }
@@ -48,7 +53,8 @@ def append_and_report(
     before = spark.read.parquet(kept)
     incremental.append(spark, fresh, store_path)
     after = incremental.read_store(spark, store_path)
-    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, VISIT_ORDER, labels))
+    counts = f"{work}/counts-{stamp}"
+    return AppendReport(rollups.reconcile(before, fresh, after), **report(fresh, VISIT_ORDER, labels, counts))
 
 
 def repair_and_publish(spark: SparkSession, base: str, plot_name: str, work: str, stamp: str) -> int | None:

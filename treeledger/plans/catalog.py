@@ -488,6 +488,21 @@ def append_report_issues(v: Views) -> DataFrame:
     return _appended(v).issues
 
 
+@query
+def append_report_by_project(v: Views) -> DataFrame:
+    return _appended(v).by_project
+
+
+@query
+def append_report_matrix(v: Views) -> DataFrame:
+    return _appended(v).matrix
+
+
+@query
+def append_report_blocks(v: Views) -> DataFrame:
+    return _appended(v).blocks
+
+
 @query
 def repair_and_publish(v: Views) -> DataFrame:
     """A versioned master without one root row, mended and published, with a snapshot of what was there."""

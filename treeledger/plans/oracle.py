@@ -383,6 +383,11 @@ def _for_workbooks() -> dict[str, str]:
     return {n: late[n] for n in names[:at]} | WORKBOOK_VIEWS | {n: late[n] for n in names[at:]}
 
 
+BODIES["append_report_matrix"] = BODIES["project_type_matrix"]
+BODIES["append_report_blocks"] = BODIES["block_breakdown"]
+BODIES["append_report_by_project"] = """select e.PROJECT_ID, coalesce(t.PLOT_NAME, substr(e.PROJECT_ID, 1, 8) || '...') as label,
+  coalesce(t.PLOT_NAME, 'Unknown') as label_or_unknown, count(*) as n
+  from new_elements e left join targets t on t.PROJECT_ID = e.PROJECT_ID group by e.PROJECT_ID, t.PLOT_NAME"""
 BODIES["ledger_extract"] = BODIES["incremental_extract"]
 BODIES["ledger_errors"] = BODIES["incremental_errors"]
 OVER_WORKBOOKS = {
