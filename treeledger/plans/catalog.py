@@ -16,7 +16,7 @@ from treeledger.plans.append import repair_and_publish as publish_repair
 from treeledger.plans.standins import Views
 from treeledger.schema import ELEMENT_FIELDS, PLOT_FIELDS, PLOT_PROJECT_FIELDS, VISIT_ORDER
 from treeledger.session import scratch_path
-from treeledger.sources import sheets, sinks, tables
+from treeledger.sources import folders, sheets, sinks, tables
 from treeledger.streaming import incremental, ledger
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -738,6 +738,22 @@ def ledger_errors(v: Views) -> DataFrame:
     return incremental.read_errors(v.spark, _ledger_arrivals(v, odd=True)).select("kind", "folder_name", "file_name")
 
 
+def _with_empty_folders(v: Views) -> str:
+    """The workbooks, and for every region two folders without workbooks: one named for a plot, one hidden."""
+    root = packed(v)
+    named = F.expr(f"{standins.REGION_CODE.replace('n_regionkey', 'r_regionkey')} - 0 MW'")
+    folders = v.table("region").select(F.explode(F.array(named, F.concat(F.lit("_empty"), F.col("r_regionkey")))).alias("d"))
+    workbooks.make_folders(folders, root)
+    return root
+
+
+@query
+def empty_folders(v: Views) -> DataFrame:
+    """Folders without workbooks, listed inside tasks, and what a run makes of each: success or an error."""
+    listing = folders.list_folders(v.spark, _with_empty_folders(v))
+    return folders.folder_status(folders.empty_folders(listing), v.plot_projects)
+
+
 @query
 def append_then_dedupe(v: Views) -> DataFrame:
     """Two appends with the keys that the master has; the rows of the last one survive."""

@@ -388,6 +388,10 @@ BODIES["append_report_blocks"] = BODIES["block_breakdown"]
 BODIES["append_report_by_project"] = """select e.PROJECT_ID, coalesce(t.PLOT_NAME, substr(e.PROJECT_ID, 1, 8) || '...') as label,
   coalesce(t.PLOT_NAME, 'Unknown') as label_or_unknown, count(*) as n
   from new_elements e left join targets t on t.PROJECT_ID = e.PROJECT_ID group by e.PROJECT_ID, t.PLOT_NAME"""
+BODIES["empty_folders"] = f"""select folder_name, case when {FOLDER_PLOT} is null then 'folder_name'
+    when not exists (select 1 from plot_map m where m.k_plot = upper({FOLDER_PLOT}) and m.PROJECT_ID <> '') then 'no_project'
+    else 'no_files' end as kind
+  from (select {S.REGION_CODE.replace('n_regionkey', 'r_regionkey')} - 0 MW' as folder_name from region union all select '_empty'||cast(r_regionkey as string) from region)"""
 BODIES["ledger_extract"] = BODIES["incremental_extract"]
 BODIES["ledger_errors"] = BODIES["incremental_errors"]
 OVER_WORKBOOKS = {

@@ -112,3 +112,18 @@ def write_files(files: DataFrame, root: str) -> int:
             yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
 
     return files.mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
+
+
+def make_folders(folders: DataFrame, root: str) -> int:
+    """Create the folders named in column ``d`` below ``root``, empty; returns how many rows were seen."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for name in batch.column("d").to_pylist():
+                system.create_dir(f"{base}/{name}", recursive=True)
+            yield pa.record_batch([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return folders.select("d").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
