@@ -28,8 +28,8 @@ def test_entry(spark):
 
 
 def test_no_plan_crosses_or_runs_python_on_rows(spark, sf_dir):
-    """Only reading spreadsheet files needs Python."""
-    reads_sheets = {"extract_workbooks", "workbook_run_stats", "workbook_run_status", "scan_sheet_files", "scan_sheet_rows", "scan_sheet_cells", "workbook_errors"}
+    """Only reading spreadsheet files and listing folders need Python."""
+    reads_sheets = {"extract_workbooks", "workbook_run_stats", "workbook_run_status", "scan_sheet_files", "scan_sheet_rows", "scan_sheet_cells", "workbook_errors", "empty_folders"}
     for name in sorted(set(QUERIES) - {"incremental_extract", "incremental_errors"}):
         plan = entry.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
