@@ -70,6 +70,8 @@ def plain(pages):
     words = defaultdict(Counter)
     for _, (lang, blocks) in parsed:
         for b in blocks:
+            if b[5]:
+                continue
             words[lang].update(re.findall(r"[^\W\d_]+", b[1].lower()))
     stops = {}
     for lang, c in words.items():

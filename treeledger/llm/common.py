@@ -15,14 +15,14 @@ from treeledger.session import scratch_path
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write once to the shared scratch folder and read again.
 
     Cuts the lineage in a way that survives lost executors, and gives the planner the true size of the table, so that
     it broadcasts the table only while it is small.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ or role (menus, headers, footers, sidebars, notices, adverts, forms, comments).
 never reach a block.  The corpus statistics are Spark aggregates; the passes run per page (see :func:`main_text`):
 
 * Words are runs of letters in lower case; stop words are the most frequent words of each page language over
-  all blocks of all pages that together make ``STOP_SHARE`` of its words (see :func:`stop_words`).
+  the blocks that are kept (those outside every non-article element) of all pages that together make ``STOP_SHARE`` of its words (see :func:`stop_words`).
 * Pass one decides each block by itself: link density over ``MAX_LINK_DENSITY`` is bad; shorter than ``LENGTH_LOW`` is
   short (bad if it has a link); otherwise stop-word density of ``STOP_HIGH`` or more is good when longer than
   ``LENGTH_HIGH`` and near-good when not, of ``STOP_LOW`` or more near-good, else bad.  Inside an ``article`` or
@@ -160,8 +160,17 @@ def blocks_of(html: str | None) -> tuple[str, list[tuple]]:
     return parser.lang, parser.blocks
 
 
+def _inside(blocks: list[tuple]) -> list[dict]:
+    """The blocks that are not inside a non-article element, numbered again from 0."""
+    kept = [b for b in blocks if not b[5]]
+    return [dict(zip(FIELDS, (i, *b[1:]))) for i, b in enumerate(kept)]
+
+
 def parsed(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """Pages with a number ``rid`` each, their language and blocks."""
+    """Pages with a number ``rid`` each, their language and the blocks outside no non-article element.
+
+    They are written once, compressed with zstd, and read by both the statistics and the passes.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -172,7 +181,7 @@ def parsed(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
                     "page_id": batch["p"].values,
                     "url": batch["u"].values,
                     "lang": [lang for lang, _ in out],
-                    "blocks": [[dict(zip(FIELDS, b)) for b in bs] for _, bs in out],
+                    "blocks": [_inside(bs) for _, bs in out],
                 }
             )
 
@@ -182,7 +191,7 @@ def parsed(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: s
         F.col(url).cast("string").alias("u"),
         F.col(html).alias("h"),
     )
-    return stored(rows.mapInPandas(run, PARSED), "html-blocks")
+    return stored(rows.mapInPandas(run, PARSED), "html-blocks", compression="zstd")
 
 
 def _words(text: str) -> Column:
