@@ -100,7 +100,8 @@ def test_query_on_whole_table(spark, sf_dir):
 
 def test_groups_cut_where_both_end():
     a, b, a_of, b_of = token_bytes()
-    _, _, a_bytes, b_bytes = alignment._tokenizers(A, B)
+    tools = alignment._tokenizers(A, B)
+    a_bytes, b_bytes = tools.a_bytes, tools.b_bytes
     text = "internationalization of tokenizers"
     ai, bi = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
     groups = alignment.align(ai, bi, a_bytes, b_bytes)

@@ -26,10 +26,11 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,11 +39,14 @@ from treeledger.llm.bpe import byte_characters
 from treeledger.llm.common import stored
 
 SALT = 16  # parts over which the counts of one pair are joined back to documents
+# Texts handed to Python at once: long documents in large batches would fill a worker's memory.
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 64
 BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 ALIGNED = (
     "rid long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "pairs array<struct<a:int,b:int,k:long>>"
+    "pair_a array<int>, pair_b array<int>, pair_k array<long>"
 )
 
 
@@ -55,8 +59,41 @@ def _found(path: str) -> str:
     return public_tokenizers.path(os.path.basename(path))
 
 
+@dataclass
+class _Table:
+    """Byte strings of a vocabulary as one flat array with starts and lengths."""
+
+    flat: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, items: list[bytes]) -> _Table:
+        size = np.array([len(b) for b in items], np.int64)
+        start = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)
+        return cls(np.frombuffer(b"".join(items), np.uint8), start, size)
+
+    def gather(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ``ids`` one after the other."""
+        sizes = self.size[ids]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.start[ids] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.flat[at]
+
+
+@dataclass
+class Tools:
+    a: object
+    b: object
+    a_bytes: list[bytes]
+    b_bytes: list[bytes]
+    a_table: _Table
+    b_table: _Table
+    digits: _Table  # decimal text of every A id, then of every B id
+
+
 @cache
-def _tokenizers(a_path: str, b_path: str):
+def _tokenizers(a_path: str, b_path: str) -> Tools:
     import sentencepiece
     from tokenizers import Tokenizer
 
@@ -71,62 +108,76 @@ def _tokenizers(a_path: str, b_path: str):
         piece = b.id_to_piece(i)
         hit = BYTE_PIECE.fullmatch(piece)
         b_bytes.append(bytes([int(hit.group(1), 16)]) if hit else piece.replace("▁", " ").encode())
-    return a, b, a_bytes, b_bytes
+    digits = _Table.of([str(i).encode() for i in range(len(a_bytes))] + [str(i).encode() for i in range(len(b_bytes))])
+    return Tools(a, b, a_bytes, b_bytes, _Table.of(a_bytes), _Table.of(b_bytes), digits)
 
 
-def _ends(ids: list[int], sizes: list[bytes]) -> list[int]:
-    ends, at = [], 0
-    for i in ids:
-        at += len(sizes[i])
-        ends.append(at)
-    return ends
+def align(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
+    """Groups ``(A ids, B ids)`` of one text, cut where tokens of both end; the byte totals must be equal.
 
+    A plain form of what :func:`describe` does with arrays.
+    """
+    a_end = np.cumsum([len(a_bytes[i]) for i in a_ids])
+    b_end = np.cumsum([len(b_bytes[i]) for i in b_ids])
+    cuts = np.intersect1d(a_end, b_end)
+    ga, gb = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+    return [
+        ([x for x, g in zip(a_ids, ga) if g == k], [y for y, g in zip(b_ids, gb) if g == k]) for k in range(len(cuts))
+    ]
 
-def align(a_ids: list[int], b_ids: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """Groups ``(A ids, B ids)`` of one text, cut where tokens of both end; the byte totals must be equal."""
-    a_end, b_end = _ends(a_ids, a_bytes), _ends(b_ids, b_bytes)
-    groups, i, j = [], 0, 0
-    while i < len(a_ids) or j < len(b_ids):
-        ga, gb = [a_ids[i]], [b_ids[j]]
-        ea, eb = a_end[i], b_end[j]
-        i, j = i + 1, j + 1
-        while ea != eb:
-            if ea < eb:
-                ga.append(a_ids[i])
-                ea = a_end[i]
-                i += 1
-            else:
-                gb.append(b_ids[j])
-                eb = b_end[j]
-                j += 1
-        groups.append((ga, gb))
-    return groups
-
-
-def describe(text: str | None, a, b, a_bytes, b_bytes) -> tuple:
-    """``n_a, n_b, n_groups, n_links, groups_sha256, pairs`` of one text."""
+
+NOTHING = (0, 0, 0, 0, "", np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+
+def describe(text: str | None, tools: Tools) -> tuple:
+    """``n_a, n_b, n_groups, n_links, groups_sha256`` of one text and its distinct id pairs with their numbers of
+    links (three arrays), with numpy over its tokens."""
     if not text:
-        return 0, 0, 0, 0, "", []
-    a_ids = a.encode(" " + text, add_special_tokens=False).ids
-    b_ids = b.encode(text)
-    whole = (" " + text).encode()
-    if b"".join(a_bytes[i] for i in a_ids) != whole or b"".join(b_bytes[i] for i in b_ids) != whole:
-        return 0, 0, 0, 0, "", []
-    groups = align(a_ids, b_ids, a_bytes, b_bytes)
-    pairs: Counter = Counter()
-    for ga, gb in groups:
-        ca, cb = Counter(ga), Counter(gb)
-        for x, m in ca.items():
-            for y, n in cb.items():
-                pairs[(x, y)] += m * n
-    shown = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
+        return NOTHING
+    a_ids = np.array(tools.a.encode(" " + text, add_special_tokens=False).ids, np.int64)
+    b_ids = np.array(tools.b.encode(text), np.int64)
+    whole = np.frombuffer((" " + text).encode(), np.uint8)
+    a_got, b_got = tools.a_table.gather(a_ids), tools.b_table.gather(b_ids)
+    if len(a_got) != len(whole) or len(b_got) != len(whole) or (a_got != whole).any() or (b_got != whole).any():
+        return NOTHING
+    a_end, b_end = np.cumsum(tools.a_table.size[a_ids]), np.cumsum(tools.b_table.size[b_ids])
+    cuts = np.intersect1d(a_end, b_end)
+    ga, gb = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
+    n_groups = len(cuts)
+    # Links: every A token with every B token of its group.
+    nb = np.bincount(gb, minlength=n_groups)
+    b_first = np.concatenate([[0], np.cumsum(nb)[:-1]])
+    times = nb[ga]
+    total = int(times.sum())
+    inside = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
+    pair_a = np.repeat(a_ids, times)
+    pair_b = b_ids[np.repeat(b_first[ga], times) + inside]
+    keys, k = np.unique((pair_a << 32) | pair_b, return_counts=True)
+    # The groups as text: A ids of a group, '|', its B ids, ';' between groups; ',' inside a side.
+    side = np.concatenate([np.zeros(len(a_ids), np.int64), np.ones(len(b_ids), np.int64)])
+    group = np.concatenate([ga, gb])
+    order = np.lexsort((side, group))
+    table_ids = np.concatenate([a_ids, b_ids + len(tools.a_bytes)])[order]
+    side, group = side[order], group[order]
+    nxt_side, nxt_group = np.append(side[1:], -1), np.append(group[1:], -1)
+    sep = np.where(nxt_group != group, ord(";"), np.where(nxt_side != side, ord("|"), ord(",")))
+    sizes = tools.digits.size[table_ids] + 1
+    ends = np.cumsum(sizes)
+    text_bytes = np.empty(int(ends[-1]), np.uint8)
+    mask = np.ones(len(text_bytes), bool)
+    mask[ends - 1] = False
+    text_bytes[mask] = tools.digits.gather(table_ids)
+    text_bytes[ends - 1] = sep
+    shown = text_bytes[:-1].tobytes()
     return (
         len(a_ids),
         len(b_ids),
-        len(groups),
-        sum(pairs.values()),
-        hashlib.sha256(shown.encode()).hexdigest(),
-        [{"a": x, "b": y, "k": k} for (x, y), k in pairs.items()],
+        n_groups,
+        total,
+        hashlib.sha256(shown).hexdigest(),
+        (keys >> 32).astype(np.int32),
+        (keys & 0xFFFFFFFF).astype(np.int32),
+        k.astype(np.int64),
     )
 
 
@@ -136,8 +187,10 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tools = _tokenizers(a_path, b_path)
         for batch in batches:
-            out = [describe(t if isinstance(t, str) else None, *tools) for t in batch["t"]]
-            frame = pd.DataFrame(out, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"])
+            out = [describe(t if isinstance(t, str) else None, tools) for t in batch["t"]]
+            frame = pd.DataFrame(
+                out, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pair_a", "pair_b", "pair_k"]
+            )
             frame.insert(0, "doc_id", batch["d"].values)
             frame.insert(0, "rid", batch["rid"].values)
             yield frame
@@ -145,12 +198,22 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", t
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")
     )
-    return stored(rows.mapInPandas(run, ALIGNED), "alignment-rows")
+    conf = docs.sparkSession.conf
+    before = conf.get(BATCH_SETTING, None)
+    conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    try:
+        return stored(rows.mapInPandas(run, ALIGNED), "alignment-rows")
+    finally:
+        conf.unset(BATCH_SETTING) if before is None else conf.set(BATCH_SETTING, before)
+
+
+def _pairs():
+    return F.arrays_zip(F.col("pair_a").alias("a"), F.col("pair_b").alias("b"), F.col("pair_k").alias("k"))
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
     """``a, b, count, best``: links of every id pair corpus-wide, and whether it is the most linked pair of its B id."""
-    links = rows.select(F.explode("pairs").alias("p")).select("p.a", "p.b", "p.k")
+    links = rows.select(F.inline(_pairs()))
     counts = links.groupBy("a", "b").agg(F.sum("k").alias("count"))
     top = counts.groupBy("b").agg(F.max("count").alias("top"))
     return stored(
@@ -161,7 +224,7 @@ def pair_counts(rows: DataFrame) -> DataFrame:
 def scored(rows: DataFrame, counts: DataFrame) -> DataFrame:
     """Rows of :func:`aligned` with ``n_best`` and ``count_sum`` of their links."""
     salt = F.pmod(F.xxhash64("rid"), F.lit(SALT)).alias("salt")
-    links = rows.select("rid", salt, F.explode("pairs").alias("p")).select("rid", "salt", "p.a", "p.b", "p.k")
+    links = rows.select("rid", salt, F.inline(_pairs()))
     spread = counts.select("a", "b", "count", "best", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
     back = links.join(spread, ["a", "b", "salt"]).groupBy("rid").agg(
         F.sum(F.when(F.col("best"), F.col("k")).otherwise(0)).alias("n_best"),
