@@ -85,9 +85,11 @@ TEXTS = [
 ]
 
 
-def test_matches_brute_force(spark):
+@pytest.mark.parametrize("a_file", [A, P.path("byte_bpe_50k.tiktoken")])
+def test_matches_brute_force(spark, a_file):
+    """With the vocabulary read by the tokenizers library and as tiktoken ranks."""
     docs = spark.createDataFrame([(*t, 0, "x") for t in TEXTS], "doc_id long, text string, rid long, pairs string")
-    got = rows(alignment.alignment(docs, A, B), *COLUMNS)
+    got = rows(alignment.alignment(docs, a_file, B), *COLUMNS)
     assert got == brute(TEXTS)
     assert any(r[4] > r[3] for r in got)  # groups with more than one pair
 
