@@ -115,3 +115,19 @@ def test_groups_cut_where_both_end():
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.alignment(docs, A, B).count() == 0
+
+
+def test_large_ids_beside_a_null_id(spark):
+    """Ids that no float can hold stay as they are in a batch with a null id."""
+    ids = [None, 2**53 + 1, 2**53 + 3, -(2**53) - 5, 2**63 - 1, -(2**63), 7]
+    docs = [(i, f"row {k} Hello world") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    assert rows(alignment.alignment(df, A, B), *COLUMNS) == brute(docs)
+
+
+@pytest.mark.parametrize("text", ["a" + " " * 1_200_000 + "b", "\n" * 1_100_000])
+def test_very_long_white_space(text):
+    """tiktoken's pattern engine stops at such runs."""
+    a, _, a_of, _ = token_bytes()
+    tools = alignment._tokenizers(P.path("byte_bpe_50k.tiktoken"), B)
+    assert tools.encode_a(" " + text) == a.encode(" " + text, add_special_tokens=False).ids
