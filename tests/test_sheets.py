@@ -3,6 +3,7 @@
 import pytest
 from conftest import rows
 
+from treeledger.plans import workbooks
 from treeledger.plans.workbooks import MAIN, pack, sheet_xml
 from treeledger.sources import sheets
 
@@ -114,3 +115,22 @@ def test_scan_without_folders_fails(spark, tmp_path):
 
     with pytest.raises(AnalysisException):
         sheets.scan_files(spark, str(tmp_path))
+
+
+def test_packing_holds_one_workbook_as_objects(spark, tmp_path, monkeypatch):
+    """However many workbooks a task packs, the rows of one at a time are Python objects."""
+
+    def held(sheets, shared=None, active=0):
+        import gc
+
+        found = [o for o in gc.get_objects() if type(o) is list and o and type(o[0]) is dict and "table_raw" in o[0]]
+        return str(len(found)).encode()
+
+    monkeypatch.setattr(workbooks, "pack", held)
+    rows = spark.range(120).selectExpr(
+        "'A12a - 50 MW' as folder_name", "concat('f', id % 40, '.xlsx') as file_name", "id as o_orderkey",
+        "'R1' as table_raw", "cast(null as string) as inverter_raw", "false as is_bad",
+    ).coalesce(1)
+    assert workbooks.write_workbooks(rows, str(tmp_path), ("T", "I")) == 40
+    counts = [int(p.read_bytes()) for p in tmp_path.rglob("*.xlsx")]
+    assert len(counts) == 40 and max(counts) <= 2
