@@ -134,3 +134,20 @@ def test_packing_holds_one_workbook_as_objects(spark, tmp_path, monkeypatch):
     assert workbooks.write_workbooks(rows, str(tmp_path), ("T", "I")) == 40
     counts = [int(p.read_bytes()) for p in tmp_path.rglob("*.xlsx")]
     assert len(counts) == 40 and max(counts) <= 2
+
+
+def test_each_file_is_opened_by_one_scan(spark, tmp_path):
+    """Listing names opens no file twice: the scan for files that are too long gets only those."""
+    for i in range(5):
+        (tmp_path / "A12a - 50 MW").mkdir(exist_ok=True)
+        (tmp_path / "A12a - 50 MW" / f"f{i}.xlsx").write_bytes(b"0" * (10 + i))
+    files = sheets.scan_files(spark, str(tmp_path))
+    assert files.select("file_name").rdd.getNumPartitions() <= 5 and files.count() == 5
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "12")
+    try:
+        found = sheets.scan_files(spark, str(tmp_path)).select("file_name", "length", "content").collect()
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert sorted((r.file_name, r.length, r.content is None) for r in found) == [
+        (f"f{i}.xlsx", 10 + i, i > 2) for i in range(5)
+    ]

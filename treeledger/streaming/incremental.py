@@ -12,6 +12,7 @@ checkpoint, so the order of rows holds when a checkpoint is lost.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,12 +127,14 @@ def upsert(store_path: str, plots: DataFrame, allow_duplicates: bool = False) ->
     def run(batch: DataFrame, _: int) -> int:
         spark = batch.sparkSession
         number = _next_batch(spark, store_path)
-        files = batch.select("folder_name", "file_name")
+        # The names are read from the files once; the errors, the projects and the elements come from the written ones.
+        files = sinks.handoff(batch.select("folder_name", "file_name"), scratch_path(spark, "batch-files"))
         # Only the partitions of the projects in this batch are read: the join prunes by the partition column.
         projects = usable_files(files, plots).select(F.lower("PROJECT_ID").alias("k_project")).distinct()
         master = read_store(spark, store_path).join(projects, "k_project", "left_semi").drop("k_project")
         work = scratch_path(spark, "batch-rows")
         inputs, failed = read_inputs(batch, plots, master, tuple(STORE_ORDER), work)
+        inputs = replace(inputs, files=files)
         errors = extraction_errors(files, plots, failed).join(
             failed.groupBy("folder_name", "file_name").agg(F.min("error").alias("detail")),
             ["folder_name", "file_name"],
