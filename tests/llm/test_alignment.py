@@ -1,10 +1,13 @@
 """Alignment of two tokenizers against a brute-force version of the contract."""
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -131,3 +134,33 @@ def test_very_long_white_space(text):
     a, _, a_of, _ = token_bytes()
     tools = alignment._tokenizers(P.path("byte_bpe_50k.tiktoken"), B)
     assert tools.encode_a(" " + text) == a.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_chunks_give_what_whole_texts_give():
+    """Also beside runs of white space, other spaces, contractions, marks and pieces of the special tokens."""
+    tools = alignment._tokenizers(P.path("byte_bpe_50k.tiktoken"), B)
+    assert tools.chunks is not None
+    draw = random.Random(5)
+    parts = [" ", " ", "  ", "\n", "\t", "a", "the", "'s", "'ll", "1", "é", "東", "😀", "▁", "\u00a0", "\u3000", "\x1c", "\x85", "\x00",
+             "ing", "<s>", "<|endoftext|>", ".", "\u0308", "_"]
+    texts = ["".join(draw.choices(parts, k=draw.randint(0, 40))) for _ in range(2000)] + ["it's a test " * 50, None]
+    for again in range(2):  # learned, then remembered
+        for text, got in zip(texts, alignment.described(texts, tools), strict=True):
+            want = alignment.describe(text, tools)
+            assert got[:5] == want[:5] and np.array_equal(got[5], want[5]), text
+    encoded = []
+    tools.chunks.forget()
+    tools.b, kept = SimpleNamespace(encode=lambda x, **kw: encoded.append(x) or kept.encode(x, **kw)), tools.b
+    try:
+        alignment.described(["one two one two one"] * 5, tools)
+    finally:
+        tools.b = kept
+    assert encoded == [["one", "two"]]
+
+
+@pytest.mark.parametrize("room", [0, 40])
+def test_pairs_that_are_not_sent_are_joined(spark, monkeypatch, room):
+    monkeypatch.setattr(alignment, "HOT_PAIRS", room)
+    monkeypatch.setattr(alignment, "CHUNKS", 3)
+    docs = spark.createDataFrame(TEXTS, "doc_id long, text string")
+    assert rows(alignment.alignment(docs, P.path("byte_bpe_50k.tiktoken"), B), *COLUMNS) == brute(TEXTS)
