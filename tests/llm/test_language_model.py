@@ -129,3 +129,46 @@ def test_scores_do_not_depend_on_the_room_of_the_filter(spark, sf_dir, monkeypat
     for i, r in got.items():
         assert r.score == pytest.approx(want[i].score, rel=1e-9)
         assert (r.n_tokens, r.n_known, r.train_tokens) == (want[i].n_tokens, want[i].n_known, want[i].train_tokens)
+
+
+@pytest.mark.parametrize("n", [1, lm.APART - 1, lm.APART, 5000])
+def test_packed_columns(n):
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 1 << 40, n, dtype=np.uint64), np.arange(n), rng.integers(0, 400, n).astype(np.int16)]
+    first, got = lm.unpack(lm.pack(3 << 40, columns, (5, 4, 2)), (5, 4, 2))
+    assert first == 3 << 40 and all(np.array_equal(a.astype(np.uint64), b) for a, b in zip(columns, got))
+
+
+def test_the_coarse_filter_loses_no_pair():
+    rng = np.random.default_rng(3)
+    hashes = np.unique(lm.kept_bits(rng.integers(0, 2**64, 5000, dtype=np.uint64), 4, lm.PAIR_BYTES))
+    place = (hashes >> np.uint64(60)).astype(int)
+    rows = []
+    for i in range(15):  # the last range has no pairs
+        size, bits = lm.shard(hashes[place == i], np.full((place == i).sum(), 2), 2)
+        rows.append({"range": i, "size": size, "bits": bits, "coarse": lm.folded(bits, 2)})
+    whole, coarse = lm.Filter.of(rows, 4, lm.PAIR_BYTES, 2), lm.Coarse.of(rows, 4, 2)
+    other = lm.kept_bits(rng.integers(0, 2**64, 100_000, dtype=np.uint64), 4, lm.PAIR_BYTES)
+    for some in (hashes, other):
+        assert not (~coarse.holds(some, 4) & (whole.level(some) > 0)).any()
+    assert coarse.holds(other, 4).mean() < 0.1 and coarse.bits.nbytes < 0.6 * whole.bits.nbytes
+
+
+@pytest.mark.parametrize("fold", [0, 8])
+def test_late_pairs_take_few_bytes(spark, monkeypatch, fold):
+    """A pair that has to be asked for is one packed entry of the range's block, and nothing waits beside it."""
+    rng = np.random.default_rng(6)
+    made = [" ".join(f"w{x}" for x in rng.integers(0, 300, 1600)) for _ in range(100)]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string").coalesce(1)
+    want = {r.doc_id: r.score for r in lm.scored(docs, lm.train(docs.select("text"))).collect()}
+    monkeypatch.setattr(lm, "MAX_BITS", 250_000)
+    monkeypatch.setattr(lm, "FOLD", fold)
+    monkeypatch.setattr(lm, "HOT_PAIRS", 8)
+    kept = []
+    monkeypatch.setattr(lm, "stored", lambda df, label, store=lm.stored: kept.append((label, store(df, label))) or kept[-1][1])
+    model = lm.train(docs.select("text"))
+    assert isinstance(model.words, lm.Filter) and isinstance(model.pairs, lm.Hot) and bool(model.pairs.coarse) == (fold > 0)
+    assert {r.doc_id: pytest.approx(r.score, rel=1e-9) for r in lm.scored(docs, model).collect()} == want
+    sent = dict(kept)["lm-scored"].where("_kind is not null").selectExpr("_kind", "octet_length(_block) as n").collect()
+    assert {r["_kind"] for r in sent} == {lm.PLACED}
+    assert sum(r.n for r in sent) < 9 * 160_100
